@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["versions", "documents", "joining", "summaries", "scalars"]
+MODULES = ["versions", "documents", "joining", "summaries", "scalars", "loading", "arrivals", "checks"]
 
 
 def load_all() -> None:

@@ -79,7 +79,7 @@ def date_toolkit(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, CAST(epoch_ms(ts) // 1000 AS BIGINT) AS seconds,
+    SELECT event_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS seconds,
            strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') AS iso_round_trip
     FROM events
     """
