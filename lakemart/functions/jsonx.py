@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakemart.functions.keys import as_col
 
@@ -61,6 +60,18 @@ def has_element(value: Column | str, element: Column | str) -> Column:
     return F.array_contains(elements(value), element)
 
 
+def holds(value: Column | str, text: Column | str) -> Column:
+    """Whether an array of texts holds a text, or an object has it as a key."""
+    return F.coalesce(has_element(value, text), has_key(value, text))
+
+
+def array_of(documents: Column) -> Column:
+    """JSON array out of an array column of JSON texts; NULL stays as null."""
+    return F.concat(
+        F.lit("["), F.array_join(F.transform(documents, lambda d: F.coalesce(d, F.lit("null"))), ","), F.lit("]")
+    )
+
+
 def length(value: Column | str) -> Column:
     return F.json_array_length(as_col(value))
 
@@ -91,24 +102,12 @@ def canonical(value: Column | str) -> Column:
     return F.to_json(F.parse_json(as_col(value)))
 
 
+def translated(value: Column | str) -> Column:
+    """The three languages of a name object as a struct."""
+    return record(value, "fi string, sv string, en string")
+
+
 def names(fi: Column | str, sv: Column | str, en: Column | str) -> Column:
     """Three-language name object in which a missing language borrows another."""
     fi, sv, en = as_col(fi), as_col(sv), as_col(en)
     return build(en=F.coalesce(en, fi, sv), sv=F.coalesce(sv, fi, en), fi=F.coalesce(fi, sv, en))
-
-
-def shape_of(paths: list[tuple[str, ...]]) -> T.StructType:
-    """Nested struct whose leaves are texts, for parsing many paths at once."""
-    tree: dict = {}
-    for path in paths:
-        node = tree
-        for key in path[:-1]:
-            node = node.setdefault(key, {})
-        node.setdefault(path[-1], {})
-
-    def to_type(node: dict) -> T.StructType:
-        return T.StructType(
-            [T.StructField(k, to_type(v) if v else T.StringType()) for k, v in node.items()]
-        )
-
-    return to_type(tree)

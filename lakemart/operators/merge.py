@@ -56,11 +56,17 @@ def purge(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mark_deleted(
-    target: DataFrame, batch: DataFrame, parent: list[str], keys: list[str], flag: str = "poistettu"
+    target: DataFrame,
+    batch: DataFrame,
+    parent: list[str],
+    keys: list[str],
+    flag: str = "poistettu",
+    changed: DataFrame | None = None,
 ) -> DataFrame:
     """Re-delivered parents: their old rows are flagged as deleted unless the
-    batch brings them again."""
-    parents = batch.select(*parent).distinct().withColumn("_again", F.lit(True))
+    batch brings them again.  ``changed`` names the parents if some come
+    without rows."""
+    parents = (batch if changed is None else changed).select(*parent).distinct().withColumn("_again", F.lit(True))
     flagged = target.join(parents, parent, "left").withColumn(
         flag, F.when(F.col("_again"), F.lit(True)).otherwise(F.col(flag))
     ).drop("_again")

@@ -23,14 +23,7 @@ LOADED = "2024-06-01 00:00:00"
 ORDER_SHAPE = Shape(
     raw="orders",
     fields=fields(
-        """
-        oid       =                bigint
-        asiakas   customer/key     bigint
-        tila      =                text
-        hinta     price/total      float
-        paiva     =                date
-        muokattu  modified         time
-        """
+        "oid:bigint customer/key:bigint=asiakas tila price/total:float=hinta paiva:date modified:time=muokattu"
     ),
     key=("tilaus_id", ("oid", "muokattu")),
 )

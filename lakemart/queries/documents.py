@@ -294,14 +294,7 @@ def json_shred(t: Source) -> DataFrame:
     shape = Shape(
         raw="events",
         fields=fields(
-            """
-            event_id  oid         bigint
-            user_id   actor/id    bigint
-            event_type actor/type
-            props     =           json
-            k         props/k     int
-            muokattu  modified    time
-            """
+            "oid:bigint=event_id actor/id:bigint=user_id actor/type=event_type props:json props/k:int modified:time=muokattu"
         ),
         key=("event_key", ("event_id", "user_id")),
     )

@@ -34,6 +34,9 @@ TYPES = {
 }
 
 
+LANGUAGES = ("fi", "sv", "en")
+
+
 @dataclass(frozen=True)
 class Field:
     column: str
@@ -42,18 +45,22 @@ class Field:
 
 
 def fields(text: str) -> list[Field]:
-    """Field list from lines ``column  path/in/document  type``.
+    """Field list from words ``path/in/document[:type][=column]``.
 
-    A path that is left out equals the column; a type that is left out is
-    text.  '=' in the path column also means "same as the column".
+    The column is the last path part in lower case unless given, the type is
+    text unless given.  A path that ends in ``/*`` stands for the three
+    languages of a translated text: ``nimi/*`` gives nimi_fi, nimi_sv, nimi_en.
     """
     found = []
-    for line in text.strip().splitlines():
-        parts = line.split()
-        column = parts[0]
-        path = parts[1] if len(parts) > 1 and parts[1] != "=" else column
-        kind = parts[2] if len(parts) > 2 else "text"
-        found.append(Field(column, tuple(path.split("/")), kind))
+    for word in text.split():
+        rest, _, column = word.partition("=")
+        path, _, kind = rest.partition(":")
+        steps = tuple(path.split("/"))
+        if steps[-1] == "*":
+            name = column or steps[-2].lower()
+            found += [Field(f"{name}_{lang}", (*steps[:-1], lang), kind or "text") for lang in LANGUAGES]
+        else:
+            found.append(Field(column or steps[-1].lower(), steps, kind or "text"))
     return found
 
 
@@ -69,6 +76,7 @@ class Shape:
     derive: Callable[[DataFrame, Column], dict[str, Column]] | None = None
     keep: Callable[[], Column] | None = None
     drop: tuple[str, ...] = field(default=())
+    metadata: bool = True
 
 
 def _schema(paths: list[tuple[str, ...]]) -> T.StructType:
@@ -133,4 +141,4 @@ def shred(raw: DataFrame, shape: Shape, now: Column) -> DataFrame:
         df = df.filter(shape.keep())
     df = df.withColumn("dw_metadata_stg_stored_at", now)
     names = [n for n in names if n not in shape.drop]
-    return df.select(*(["data"] if shape.keep_document else []), *names, *METADATA)
+    return df.select(*names, *(["data"] if shape.keep_document else []), *(METADATA if shape.metadata else []))
