@@ -103,9 +103,14 @@ def _call(m: Model, read: Callable[[str], DataFrame], now: Column, target: DataF
 
 
 def evaluate(
-    sources: Callable[[str], DataFrame], wanted: list[str], now: Column, models: dict[str, Model] = MODELS
+    sources: Callable[[str], DataFrame],
+    wanted: list[str],
+    now: Column,
+    models: dict[str, Model] = MODELS,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Full refresh of the wanted models as frames, without writing."""
+    """Full refresh of the wanted models as frames.  ``store`` may write a
+    model that several others read and return the stored frame."""
     built: dict[str, DataFrame] = {}
 
     def read(name: str) -> DataFrame:
@@ -114,7 +119,9 @@ def evaluate(
     for name in in_order(models, wanted):
         m = models[name]
         df = _call(m, read, now, None)
-        built[name] = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]]) if m.after else df
+        if m.after:
+            df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
+        built[name] = store(name, df) if store else df
     return built
 
 

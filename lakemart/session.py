@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # parsing JSON is slow per byte, so small partitions are worth their task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # a key that holds a large share of a table is split over tasks, even
     # where that costs one more exchange for the operator above the join
     "spark.sql.adaptive.skewJoin.enabled": "true",
