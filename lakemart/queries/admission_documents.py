@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakemart.plans.catalog import raw_defaults
 from lakemart.queries.registry import Source
+from lakemart.session import work_path
 
 PLACES = 7
 TARGET = "1.2.246.562.20."
@@ -54,7 +55,16 @@ def lines(t: Source) -> DataFrame:
 
 
 def results(t: Source) -> DataFrame:
-    """One result per order and part, with the order's customer."""
+    """One result per order and part, with the order's customer.  Several raw
+    tables start from it, so it is written to the shared folder once."""
+    if "selection_results" not in vars(t):
+        path = work_path(t.spark, "selection_results")
+        _results(t).write.parquet(path)
+        t.selection_results = t.spark.read.parquet(path)
+    return t.selection_results
+
+
+def _results(t: Source) -> DataFrame:
     first = F.min(F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")).alias("l")
     per_part = lines(t).groupBy("l_orderkey", "l_partkey").agg(first).select("l_orderkey", "l_partkey", "l.*")
     return per_part.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -101,6 +111,7 @@ def applications(t: Source, copied: str = LATE) -> DataFrame:
     health = F.create_map(
         F.concat(F.lit("sora-terveys_"), first), F.when(F.col("o_custkey") % 2 == 0, "1").otherwise("0"),
         F.concat(F.lit("sora-aiempi_"), first), F.lit("1"),
+        F.lit("sora-terveys"), F.lit("0"),
     )
     double = F.create_map(F.concat(F.lit(f"{DOUBLE}_"), first), F.when(F.col("o_custkey") % 2 == 0, "0").otherwise("1"))
     athlete = F.create_map(F.lit(ATHLETE), F.lit("0"), F.lit("1dc3311d-2235-40d6-88d2-de2bd63e087b"), F.lit("0"))

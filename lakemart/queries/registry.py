@@ -22,7 +22,9 @@ class Source:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        df = read_table(self.spark, self.folder, name)
+        setattr(self, name, df)
+        return df
 
 
 def query(sql: str | None = None):

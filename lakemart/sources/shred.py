@@ -108,20 +108,18 @@ def parse(document: Column, wanted: list[Field], df: DataFrame) -> DataFrame:
         else:
             outer.append(f)
     df = df.withColumn("_doc", F.from_json(document, _schema([f.path for f in outer])))
-    columns = {f.column: _read("_doc", f.path) for f in outer}
+    values = {f.column: _read("_doc", f.path) for f in outer}
     for i, (prefix, parts) in enumerate(inner.items()):
         name = f"_part{i}"
-        df = df.withColumn(name, F.from_json(_read("_doc", prefix), _schema([p.path[len(prefix):] for p in parts])))
-        columns |= {p.column: _read(name, p.path[len(prefix):]) for p in parts}
-    typed = {f.column: columns[f.column].cast(TYPES[f.type]) for f in wanted}
-    return df.withColumns(typed).drop("_doc", *[f"_part{i}" for i in range(len(inner))])
+        text = F.expr(_read("_doc", prefix))
+        df = df.withColumn(name, F.from_json(text, _schema([p.path[len(prefix):] for p in parts])))
+        values |= {p.column: _read(name, p.path[len(prefix):]) for p in parts}
+    kept = [f"`{c}`" for c in df.columns if c not in values and c != "_doc" and not c.startswith("_part")]
+    return df.selectExpr(*kept, *[f"CAST({values[f.column]} AS {TYPES[f.type]}) AS `{f.column}`" for f in wanted])
 
 
-def _read(root: str, path: tuple[str, ...]) -> Column:
-    value = F.col(root)
-    for key in path:
-        value = value.getField(key)
-    return value
+def _read(root: str, path: tuple[str, ...]) -> str:
+    return ".".join(f"`{key}`" for key in (root, *path))
 
 
 def shred(raw: DataFrame, shape: Shape, now: Column) -> DataFrame:
