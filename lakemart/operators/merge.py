@@ -1,8 +1,8 @@
 """Target-table changes as DataFrames: the result is the next table version.
 
 Matching uses anti and semi joins against the incoming keys.  When the batch
-is small Spark broadcasts the keys and the target is only scanned, never
-shuffled.  Incoming keys must be unique for ``upsert``.
+is a stored frame that is small, Spark broadcasts its keys and the target is
+only scanned, never shuffled.
 """
 
 from __future__ import annotations

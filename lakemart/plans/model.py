@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import merge
+from lakemart.session import stored
 from lakemart.sinks.versions import Tables
 
 SPECIAL = ("now", "target")
@@ -133,6 +134,9 @@ def next_version(m: Model, target: DataFrame, read: Callable[[str], DataFrame],
     batch = _call(m, read, now, target, source)
     if m.newer:
         batch = merge.only_newer(batch, target, list(m.keys), m.newer)
+    if m.load != "append":
+        # used several times below; its known size lets small batches be broadcast
+        batch = stored(batch, f"batch-{m.name}")
     keys = list(m.keys)
     if m.load == "append":
         return merge.append(target, batch)

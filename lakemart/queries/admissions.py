@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.plans.catalog import evaluate
+from lakemart.plans.catalog import MODELS, evaluate
 from lakemart.queries import admission_documents as documents
 from lakemart.queries.registry import Source, query
 from lakemart.session import work_path
@@ -13,25 +13,43 @@ from lakemart.session import work_path
 NOW = "2024-06-01 00:00:00"
 
 
-# read by many models, so written to the shared folder once per query
+# read by many models, so written to the shared folder once per session
 SHARED = {
     "int_koodisto_koodi", "int_koodisto_relaatio", "int_ataru_hakemus", "int_organisaatio", "int_hakutoive",
-    "int_koodisto_koulutus_alat_ja_asteet", "int_onr_henkilo",
+    "int_koodisto_koulutus_alat_ja_asteet", "int_onr_henkilo", "pub_dim_koulutus", "pub_dim_hakukohde", "pub_dim_henkilo",
+    "int_valintarekisteri_ilmoittautuminen", "int_valintarekisteri_vastaanotto",
 }
+# (application, folder) -> model -> where it is stored
+STORED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def forget() -> None:
+    """Derive and store everything again at the next query."""
+    STORED.clear()
 
 
 def marts(t: Source, *wanted: str) -> list[DataFrame]:
-    """Models over the derived documents."""
+    """Models over the derived documents.  A shared model that an earlier
+    query of the session has stored is read, not built again."""
+    spark = t.spark
+    stored = STORED.setdefault((spark.sparkContext.applicationId, t.folder), {})
+    derive = documents.reader(t)
+    open_models = {name: m for name, m in MODELS.items() if name not in stored}
+
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(stored[name]) if name in stored else derive(name)
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        if name not in SHARED or name in wanted:
+        if name not in SHARED:
             return df
-        path = work_path(t.spark, name)
+        path = work_path(spark, name)
         df.write.parquet(path)
-        return t.spark.read.parquet(path)
+        stored[name] = path
+        return spark.read.parquet(path)
 
-    built = evaluate(documents.reader(t), list(wanted), F.lit(NOW).cast("timestamp"), store=store)
-    return [built[name] for name in wanted]
+    missing = [name for name in wanted if name in open_models]
+    built = evaluate(read, missing, F.lit(NOW).cast("timestamp"), open_models, store)
+    return [built[name] if name in built else read(name) for name in wanted]
 
 
 # the derived choices and results, for the SQL twins
@@ -193,7 +211,7 @@ TARGETS = """
            CAST(CASE kind WHEN 5 THEN 5 WHEN 0 THEN 1 WHEN 1 THEN 1 ELSE 3 END AS INT) AS tutkinnon_taso_sykli,
            '["am","yo"]' AS pohjakoulutuskoodit, '["oppilaitoksenopetuskieli_1","oppilaitoksenopetuskieli_2"]' AS oppilaitoksen_opetuskieli,
            'O' || p_partkey % 100 AS jarjestyspaikka_oid, CAST(p_size AS BIGINT) AS hakukohteen_aloituspaikat,
-           CASE WHEN p_partkey % 100 < 10 THEN 'none' ELSE 'O' || p_partkey % 100 END AS office,
+           CASE WHEN s.s_suppkey IS NULL OR s.s_suppkey < 10 THEN 'none' ELSE 'O' || p_partkey % 100 END AS office,
            CASE WHEN s.s_suppkey IS NULL THEN NULL ELSE n_name END AS town
     FROM target LEFT JOIN supplier s ON s.s_suppkey = p_partkey % 100 LEFT JOIN nation ON n_nationkey = s.s_nationkey
     """

@@ -69,3 +69,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back.  Unlike a
+    checkpoint the result has a known size, so Spark can choose to broadcast it."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
