@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.keys import newest, surrogate_key
-from lakemart.operators.joins import not_in
 from lakemart.operators.latest import first_per_key, newest_per_key
-from lakemart.operators.merge import upsert
+from lakemart.operators.merge import matching, upsert
 
 # metadata of the first delivery, kept when a history row is merged again
 FIRST_SEEN = [
@@ -60,7 +59,10 @@ def append_changes(target: DataFrame | None, stage: DataFrame, keys: list[str],
     batch = hashed(stage, keys, now)
     if target is None:
         return batch
-    fresh = not_in(batch, "dw_metadata_hash", target, "dw_metadata_hash")
+    # a hash is never NULL, so "not in" is a plain anti join; the stored hashes
+    # are cut down to the incoming ones first
+    known = matching(target.select("dw_metadata_hash"), batch, ["dw_metadata_hash"])
+    fresh = batch.join(known, ["dw_metadata_hash"], "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True)
 
 

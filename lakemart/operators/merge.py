@@ -29,7 +29,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], keep: list[str]
     keep = [c for c in keep or [] if c in target.columns and c in batch.columns and c not in keys]
     untouched = target.join(batch.select(*keys), keys, "left_anti")
     if keep:
-        old = target.join(batch.select(*keys), keys, "left_semi").select(
+        old = matching(target, batch, keys).select(
             *keys, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_old_{c}") for c in keep]
         )
         batch = batch.join(old, keys, "left").withColumns(
@@ -73,9 +73,15 @@ def mark_deleted(
     return upsert(flagged, batch, keys)
 
 
+def matching(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows of the incoming keys.  A small batch is broadcast, so what
+    is joined afterwards is as small as the batch, not as the target."""
+    return target.join(batch.select(*keys), keys, "left_semi")
+
+
 def only_newer(batch: DataFrame, target: DataFrame, keys: list[str], time: str, target_time: str | None = None) -> DataFrame:
     """Drop incoming rows that are not newer than the stored row of their key."""
-    stored = target.select(*keys, F.col(target_time or time).alias("_stored"))
+    stored = matching(target, batch, keys).select(*keys, F.col(target_time or time).alias("_stored"))
     newer = F.col("_stored").isNull() | (F.col(time) > F.col("_stored"))
     return batch.join(stored, keys, "left").filter(newer).drop("_stored")
 

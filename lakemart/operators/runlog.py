@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.merge import upsert
 
-RUNS = "model string, start_time timestamp"
-COMPLETED = "model string, raw_table string, start_time timestamp, execute boolean"
-
 
 def empty_runs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RUNS)
+    return spark.range(0).selectExpr("CAST(id AS STRING) AS model", "CAST(NULL AS TIMESTAMP) AS start_time")
 
 
 def empty_completed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], COMPLETED)
+    return spark.range(0).selectExpr(
+        "CAST(id AS STRING) AS model", "CAST(id AS STRING) AS raw_table", "CAST(NULL AS TIMESTAMP) AS start_time", "true AS execute"
+    )
 
 
 def start(runs: DataFrame, model: str, now: Column) -> DataFrame:

@@ -97,7 +97,8 @@ def int_ataru_hakemus(dw_ataru_hakemus: DataFrame, target: DataFrame | None) ->
     """
     newest = latest.newest_per_key(dw_ataru_hakemus, ["oid"], "versio_id", "muokattu").filter("henkilo_oid IS NOT NULL")
     if target is not None:
-        stored = target.select(F.col("hakemus_oid").alias("oid"), F.struct("versio_id", "muokattu").alias("_stored"))
+        kept = target.select(F.col("hakemus_oid").alias("oid"), F.struct("versio_id", "muokattu").alias("_stored"))
+        stored = merge.matching(kept, newest, ["oid"])
         newest = newest.join(stored, ["oid"], "left").filter(
             F.col("_stored").isNull() | (F.struct("versio_id", "muokattu") >= F.col("_stored"))
         ).drop("_stored")
@@ -232,7 +233,8 @@ def int_valintarekisteri_valinnantulos(dw_valintarekisteri_valinnantulos: DataFr
     the day of a decision; results of that same day are merged again."""
     newest = current(dw_valintarekisteri_valinnantulos, "valinnantulos_id")
     if target is not None:
-        stored = target.select("valinnantulos_id", F.col("valintatiedon_pvm").cast("timestamp").alias("_stored"))
+        kept = target.select("valinnantulos_id", F.col("valintatiedon_pvm").cast("timestamp").alias("_stored"))
+        stored = merge.matching(kept, newest, ["valinnantulos_id"])
         newest = newest.join(stored, ["valinnantulos_id"], "left").filter(
             F.col("_stored").isNull() | (F.col("muokattu") > F.col("_stored"))
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 from graphlib import TopologicalSorter
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import merge
+from lakemart.operators.quality import assert_contract
 from lakemart.session import stored
 from lakemart.sinks.versions import Tables
 
@@ -54,7 +55,6 @@ class Model:
     newer: str | None = None
     after: Callable[..., DataFrame] | None = None
     history: bool = False
-    checks: dict = field(default_factory=dict)
 
     @property
     def tables(self) -> tuple[str, ...]:
@@ -159,6 +159,9 @@ def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Col
         df = next_version(m, tables.read(m.name), read, now)
     if m.after:
         df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
+    if m.name.startswith("pub_") and tables.exists(m.name):
+        # published tables keep the columns and types they were published with
+        df = assert_contract(df, tables.read(m.name).schema)
     return tables.rebuild(m.name, df, history=m.history and full)
 
 
@@ -169,8 +172,10 @@ def run(
     wanted: list[str] | None = None,
     full: bool = False,
     models: dict[str, Model] = MODELS,
+    check: Callable[[str, DataFrame, Callable[[str], DataFrame]], None] | None = None,
 ) -> list[str]:
-    """Refresh the models in order, each from stored tables."""
+    """Refresh the models in order, each from stored tables.  A ``check`` that
+    raises ends the run before anything is built on the failed table."""
     now = F.lit(at).cast("timestamp")
 
     def read(name: str) -> DataFrame:
@@ -178,7 +183,9 @@ def run(
 
     done = in_order(models, wanted)
     for name in done:
-        refresh(models[name], tables, read, now, full and not models[name].history)
+        df = refresh(models[name], tables, read, now, full and not models[name].history)
+        if check:
+            check(name, df, read)
     return done
 
 

@@ -86,7 +86,8 @@ def search_of(priority: str = "o_orderpriority") -> Column:
 
 def applications(t: Source, copied: str = LATE) -> DataFrame:
     """Current versions of all applications."""
-    orders = t.orders.join(choices_per_order(t), ["o_orderkey"], "left")
+    # spread by the join key first: writing the documents is the work here
+    orders = t.orders.repartition("o_orderkey").join(choices_per_order(t), ["o_orderkey"], "left")
     first = F.get("choices", F.lit(0))
     reviews = F.when(
         first.isNotNull(),
@@ -140,7 +141,7 @@ def applications(t: Source, copied: str = LATE) -> DataFrame:
 
 def first_versions(t: Source) -> DataFrame:
     """Earlier versions of finished orders' applications, with one other choice."""
-    orders = t.orders.filter(F.col("o_orderstatus") == "F")
+    orders = t.orders.filter(F.col("o_orderstatus") == "F").repartition("o_orderkey")
     document = obj(
         hakemusOid=text("A", "o_orderkey"), id=F.lit(1), form_key=FORM, form=F.lit(1),
         keyValues=F.create_map(F.lit("home-town"), F.lit("0")), state="active", hakuOid=search_of(),

@@ -140,7 +140,7 @@ def land_stream(t: Source) -> DataFrame:
     spark, base = t.spark, work_path(t.spark, "stream")
     export_orders(t, f"{base}/in")
     for _ in range(2):
-        land_arrivals(spark, f"{base}/in", f"{base}/raw", f"{base}/checkpoint", now(), files_per_batch=4)
+        land_arrivals(spark, f"{base}/in", f"{base}/raw", f"{base}/checkpoint", now(), files_per_batch=100)
     return landed_columns(spark.read.parquet(f"{base}/raw").drop("batch"))
 
 
@@ -164,7 +164,7 @@ def refresh_stream(t: Source) -> DataFrame:
 
     from lakemart.streaming.arrivals import arriving_files
 
-    refresh_on_arrival(arriving_files(spark, f"{base}/in", 8), f"{base}/checkpoint", step)
+    refresh_on_arrival(arriving_files(spark, f"{base}/in", 100), f"{base}/checkpoint", step)
     return tables.read("orders").select(
         "oid", "asiakas", "tila", "hinta", F.date_format("paiva", "yyyy-MM-dd").alias("paiva")
     )

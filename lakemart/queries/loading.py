@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import history, latest, merge, runlog
 from lakemart.queries.registry import Source, query
+from lakemart.session import stored
 
 EPOCH = "1899-12-31"
 
@@ -168,12 +169,16 @@ def history_merge(t: Source) -> DataFrame:
 
 
 def hashed_history(t: Source) -> DataFrame:
-    """Three loads: all orders; the same again; some with another priority."""
+    """Three loads: all orders; the same again; some with another priority.
+    The table is stored after each load."""
     everything = orders_between(t, None, None)
-    table = history.append_changes(None, staged(everything, "2024-01-01", "one"), ["oid"], stamp("2024-01-01"))
-    table = history.append_changes(table, staged(everything, "2024-01-02", "two"), ["oid"], stamp("2024-01-02"))
     changed = doubled(orders_between(t, "2000-01-01", None))
-    return history.append_changes(table, staged(changed, "2024-01-03", "three"), ["oid"], stamp("2024-01-03"))
+    table = None
+    for batch, day, file in (
+        (everything, "2024-01-01", "one"), (everything, "2024-01-02", "two"), (changed, "2024-01-03", "three")
+    ):
+        table = stored(history.append_changes(table, staged(batch, day, file), ["oid"], stamp(day)), "hashed")
+    return table
 
 
 @query(
@@ -254,8 +259,8 @@ def run_log(t: Source) -> DataFrame:
     for model, df, time in (("stg_orders", t.orders, "o_orderdate"), ("stg_events", t.events, "ts")):
         newest = df.agg(F.max(time).cast("timestamp").alias("m")).first()["m"]
         for begun in ("1990-01-01 00:00:00", newest):
-            runs = runlog.start(runs, model, F.lit(begun).cast("timestamp"))
-            completed = runlog.complete(completed, runs, model)
+            runs = stored(runlog.start(runs, model, F.lit(begun).cast("timestamp")), "runs")
+            completed = stored(runlog.complete(completed, runs, model), "completed")
     return completed.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 

@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators import quality
 from lakemart.plans.catalog import raw_defaults, run
+from lakemart.plans.checks import violations
 from lakemart.queries import admission_documents as documents
 from lakemart.queries.admissions import CHOICES, PERSON, REGISTER, STATE, TARGETS, marts
 from lakemart.queries.registry import Source, query
@@ -305,3 +307,19 @@ def mart_two_loads(t: Source) -> DataFrame:
     for df, at in loads:
         run(tables, lambda name: df if name == "ataru_hakemus" else raw_defaults(t.spark, name), at, ["int_ataru_hakutoive"])
     return tables.read("int_ataru_hakutoive").select("hakemus_oid", "hakukohde_oid", "hakutoivenumero", "poistettu")
+
+
+CHECKED = ["pub_dim_haku", "pub_dim_koulutus", "pub_dim_toteutus", "int_sijoitteluajo", "int_maksuvelvollisuus"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS model, CAST(0 AS BIGINT) AS violations" for n in CHECKED))
+def mart_checks(t: Source) -> DataFrame:
+    """Declared keys of some tables: rows that violate them."""
+    frames = []
+    for name, df in zip(CHECKED, marts(t, *CHECKED)):
+        report = quality.report(violations(name, df, lambda other: marts(t, other)[0]))
+        frames.append(report.agg(F.lit(name).alias("model"), F.sum("violations").alias("violations")))
+    first, *rest = frames
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first

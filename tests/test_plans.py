@@ -160,3 +160,30 @@ def test_a_run_without_news_changes_nothing(spark, loaded):
     run(loaded, both, datetime(2024, 2, 10, 14), names)
     after = {n: rows(loaded.read(n), *loaded.read(n).columns) for n in names}
     assert before == after
+
+
+def test_failed_check_stops_the_run(spark, tmp_path):
+    from lakemart.plans.checks import ChecksFailed, require
+
+    twice = {"valintarekisteri_valintatapajono": [{"oid": "J1", "hakukohdeOid": "T1"}, {"oid": "J1", "hakukohdeOid": "T2"}]}
+    tables = Tables(spark, str(tmp_path))
+    wanted = ["gen_valintarekisteri_valintatapajono"]
+    with pytest.raises(ChecksFailed, match="gen_valintarekisteri_valintatapajono: unique"):
+        run(tables, sources(spark, (twice, d.FIRST_AT)), datetime(2024, 1, 10, 13), wanted, check=require)
+
+
+def test_checks_name_existing_columns(rebuilt):
+    from lakemart.plans import checks
+
+    assert set(checks.KEYS) | set(checks.REQUIRED) | set(checks.TOGETHER) <= set(MODELS)
+    for name, df in rebuilt.items():
+        checks.violations(name, df, lambda other: rebuilt[other])
+
+
+def test_published_columns_stay(spark, tmp_path):
+    from lakemart.operators.quality import ContractBroken
+
+    tables = Tables(spark, str(tmp_path))
+    tables.write("pub_dim_maksuvelvollisuus", spark.createDataFrame([("x",)], "hakutoive_id string"))
+    with pytest.raises(ContractBroken):
+        run(tables, sources(spark), datetime(2024, 1, 10, 13), ["pub_dim_maksuvelvollisuus"])
