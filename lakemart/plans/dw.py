@@ -66,11 +66,13 @@ for _name, _keys in KEYS.items():
     add(
         f"dw_{_name}", _merged(_keys), (f"stg_{_name}", "now"),
         load="merge", keys=_keys, keep=tuple(FIRST_SEEN), since=Since(STAGED, or_null=True), history=True,
+        by_month="muokattu" if "muokattu" in _keys else None,
     )
 
 
 @model(
     load="merge", keys=("hakemus_versio_id", "muokattu"), history=True, since=Since("dw_metadata_dbt_copied_at"),
+    by_month="muokattu",
     keep=("dw_metadata_stg_stored_at", *[c for c in FIRST_SEEN if c != "dw_metadata_source_timestamp_at"]),
 )
 def dw_ataru_hakemus(stg_ataru_hakemus: DataFrame, now: Column) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from lakemart.operators import merge
 from lakemart.operators.quality import assert_contract
 from lakemart.session import stored
-from lakemart.sinks.versions import Tables
+from lakemart.sinks.versions import Tables, month_of
 
 SPECIAL = ("now", "target")
 BEGINNING = datetime(1899, 12, 31)
@@ -36,8 +36,8 @@ class Since:
     or_null: bool = False
     overlap: str | None = None
 
-    def apply(self, df: DataFrame, target: DataFrame) -> DataFrame:
-        mark = merge.high_water_mark(target, self.stored or self.source, BEGINNING)
+    def apply(self, df: DataFrame, newest: Callable[[str], object]) -> DataFrame:
+        mark = newest(self.stored or self.source) or BEGINNING
         margin = F.expr(f"INTERVAL {self.overlap}") if self.overlap else None
         return merge.above(df, self.source, mark, self.inclusive, self.or_null, margin)
 
@@ -55,6 +55,7 @@ class Model:
     newer: str | None = None
     after: Callable[..., DataFrame] | None = None
     history: bool = False
+    by_month: str | None = None
 
     @property
     def tables(self) -> tuple[str, ...]:
@@ -126,20 +127,23 @@ def evaluate(
     return built
 
 
-def next_version(m: Model, target: DataFrame, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
-    """The stored table after one incremental load."""
+def _news(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column, target: DataFrame):
+    """Source rows since the last load, and the batch made of them."""
     source = read(m.inputs[0])
     if m.since:
-        source = m.since.apply(source, target)
-    batch = _call(m, read, now, target, source)
+        source = m.since.apply(source, lambda column: tables.newest(m.name, column))
+    return source, _call(m, read, now, target, source)
+
+
+def next_version(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+    """The stored table after one incremental load."""
+    target = tables.read(m.name)
+    source, batch = _news(m, tables, read, now, target)
     if m.newer:
         batch = merge.only_newer(batch, target, list(m.keys), m.newer)
-    if m.load != "append":
-        # used several times below; its known size lets small batches be broadcast
-        batch = stored(batch, f"batch-{m.name}")
+    # used several times below; its known size lets small batches be broadcast
+    batch = stored(batch, f"batch-{m.name}")
     keys = list(m.keys)
-    if m.load == "append":
-        return merge.append(target, batch)
     if m.load == "merge" and m.parent:
         return merge.mark_deleted(target, batch, list(m.parent), keys, changed=source)
     if m.load == "merge":
@@ -151,12 +155,30 @@ def next_version(m: Model, target: DataFrame, read: Callable[[str], DataFrame],
     raise ValueError(f"{m.name}: no incremental form of load {m.load!r}")
 
 
+def merge_months(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+    """Merge into the months that the batch has rows of.
+
+    The change time is part of the key, so a stored row that matches is in the
+    same month; all other months are neither read nor written.
+    """
+    batch = stored(_news(m, tables, read, now, tables.read(m.name))[1], f"batch-{m.name}")
+    months = [r[0] for r in batch.select(month_of(m.by_month)).distinct().collect()]
+    if not months:
+        return tables.read(m.name)
+    merged = merge.upsert(tables.read(m.name, months), batch, list(m.keys), list(m.keep))
+    return tables.replace_parts(m.name, merged, month_of(m.by_month))
+
+
 def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column, full: bool = False) -> DataFrame:
     """Build or update one stored table."""
-    if m.load == "table" or full or not tables.exists(m.name):
-        df = _call(m, read, now, None)
-    else:
-        df = next_version(m, tables.read(m.name), read, now)
+    first = full or not tables.exists(m.name)
+    if m.by_month:
+        return tables.replace_parts(m.name, _call(m, read, now, None), month_of(m.by_month)) if first else merge_months(
+            m, tables, read, now
+        )
+    if m.load == "append" and not first:
+        return tables.add(m.name, _news(m, tables, read, now, tables.read(m.name))[1])
+    df = _call(m, read, now, None) if first or m.load == "table" else next_version(m, tables, read, now)
     if m.after:
         df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
     if m.name.startswith("pub_") and tables.exists(m.name):

@@ -36,9 +36,9 @@ def _load(raw: str) -> dict:
 class PersonSince(Since):
     """Persons are dated by their own change time; a week is read again."""
 
-    def apply(self, df: DataFrame, target: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, newest) -> DataFrame:
         changed = df.withColumn("_updated", F.get_json_object("data", "$.updated").cast("timestamp"))
-        return Since("_updated", "muokattu", overlap="7 DAYS").apply(changed, target).drop("_updated")
+        return Since("_updated", "muokattu", overlap="7 DAYS").apply(changed, newest).drop("_updated")
 
 
 for _raw, _shape in SHAPES.items():

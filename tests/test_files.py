@@ -123,3 +123,24 @@ def test_export_layers(spark, tmp_path):
     assert stored == manifests["pub_"]
     back = spark.read.csv(f"{tmp_path}/out/pub/pub_b.csv.gz", header=True, escape='"')
     assert [tuple(r) for r in back.collect()] == [("1", 'say "x", y')]
+
+
+def test_added_rows_do_not_rewrite_the_table(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.write("stg_t", spark.range(3).selectExpr("id"))
+    tables.add("stg_t", spark.range(2).selectExpr("id + 10 AS id", "'x' AS extra"))
+    assert sorted(r.id for r in tables.read("stg_t").collect()) == [0, 1, 2, 10, 11]
+    assert sum(r.extra is not None for r in tables.read("stg_t").collect()) == 2
+    tables.add("stg_t", spark.range(0).selectExpr("id"))
+    assert tables.newest("stg_t", "id") == 11
+    assert spark.read.parquet(str(tmp_path / "stg_t" / "a=000000002")).count() == 2
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    first = spark.createDataFrame([(1, "2024-01", "a"), (2, "2024-02", "b"), (3, "2024-03", "c")], "k int, m string, v string")
+    tables.replace_parts("dw_t", first, F.col("m"))
+    tables.replace_parts("dw_t", tables.read("dw_t", ["2024-02"]).withColumn("v", F.lit("B")), F.col("m"))
+    assert sorted((r.k, r.v) for r in tables.read("dw_t").collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    assert [p.name for p in (tmp_path / "dw_t" / "p=000000002").iterdir() if p.is_dir()] == ["_part=2024-02"]
+    assert tables.read("dw_t", ["2030-01"]).count() == 0

@@ -187,3 +187,13 @@ def test_published_columns_stay(spark, tmp_path):
     tables.write("pub_dim_maksuvelvollisuus", spark.createDataFrame([("x",)], "hakutoive_id string"))
     with pytest.raises(ContractBroken):
         run(tables, sources(spark), datetime(2024, 1, 10, 13), ["pub_dim_maksuvelvollisuus"])
+
+
+def test_history_rewrites_only_months_with_news(loaded):
+    from pathlib import Path
+
+    folder = Path(loaded.folder("dw_ataru_hakemus").removeprefix("file:"))
+    parts = {step.name: sorted(p.name for p in step.iterdir() if p.is_dir()) for step in sorted(folder.iterdir()) if step.is_dir()}
+    assert parts["p=000000001"] == ["_part=2024-01"]
+    assert parts["p=000000002"] == ["_part=2024-01", "_part=2024-02"]
+    assert (Path(loaded.folder("stg_ataru_hakemus")) / "a=000000002").exists()
