@@ -18,22 +18,23 @@ def empty_completed(spark: SparkSession) -> DataFrame:
     )
 
 
-def start(runs: DataFrame, model: str, now: Column) -> DataFrame:
-    """Note the start of a load; one row per model."""
-    row = runs.sparkSession.range(1).select(F.lit(model).alias("model"), now.alias("start_time"))
-    return upsert(runs, row, ["model"])
+def start(runs: DataFrame, models: list[str], now: Column) -> DataFrame:
+    """Note the start of loads; one row per model."""
+    names = F.explode(F.array(*[F.lit(m) for m in models]))
+    rows = runs.sparkSession.range(1).select(names.alias("model"), now.alias("start_time"))
+    return upsert(runs, rows, ["model"])
 
 
-def complete(completed: DataFrame, runs: DataFrame, model: str) -> DataFrame:
-    """Copy the start time of a finished load.  A new model is not yet allowed
+def complete(completed: DataFrame, runs: DataFrame, models: list[str]) -> DataFrame:
+    """Copy the start times of finished loads.  A new model is not yet allowed
     to be cleaned up; an operator sets ``execute`` once."""
-    row = runs.filter(F.col("model") == model).select(
+    rows = runs.filter(F.col("model").isin(*models)).select(
         "model",
         F.regexp_replace("model", "^stg_", "").alias("raw_table"),
         "start_time",
         F.lit(False).alias("execute"),
     )
-    return upsert(completed, row, ["model"], keep=["execute", "raw_table"])
+    return upsert(completed, rows, ["model"], keep=["execute", "raw_table"])
 
 
 def watermark(completed: DataFrame, raw_table: str, default):

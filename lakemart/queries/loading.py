@@ -259,8 +259,8 @@ def run_log(t: Source) -> DataFrame:
     for model, df, time in (("stg_orders", t.orders, "o_orderdate"), ("stg_events", t.events, "ts")):
         newest = df.agg(F.max(time).cast("timestamp").alias("m")).first()["m"]
         for begun in ("1990-01-01 00:00:00", newest):
-            runs = stored(runlog.start(runs, model, F.lit(begun).cast("timestamp")), "runs")
-            completed = stored(runlog.complete(completed, runs, model), "completed")
+            runs = stored(runlog.start(runs, [model], F.lit(begun).cast("timestamp")), "runs")
+            completed = stored(runlog.complete(completed, runs, [model]), "completed")
     return completed.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
@@ -272,8 +272,8 @@ def run_log(t: Source) -> DataFrame:
 )
 def retention(t: Source) -> DataFrame:
     events = t.events
-    runs = runlog.start(runlog.empty_runs(t.spark), "stg_events", stamp("2024-01-15"))
-    completed = runlog.complete(runlog.empty_completed(t.spark), runs, "stg_events")
+    runs = runlog.start(runlog.empty_runs(t.spark), ["stg_events"], stamp("2024-01-15"))
+    completed = runlog.complete(runlog.empty_completed(t.spark), runs, ["stg_events"])
     released = completed.withColumn("execute", F.lit(True))
     count = F.count(F.lit(1)).alias("rows")
     return (

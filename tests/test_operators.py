@@ -214,8 +214,8 @@ def test_contract(rows):
 def test_run_log_and_retention(spark, rows):
     runs, done = runlog.empty_runs(spark), runlog.empty_completed(spark)
     for day in ("2024-01-01", "2024-01-03"):
-        runs = runlog.start(runs, "stg_orders", F.lit(day).cast("timestamp"))
-        done = runlog.complete(done, runs, "stg_orders")
+        runs = runlog.start(runs, ["stg_orders"], F.lit(day).cast("timestamp"))
+        done = runlog.complete(done, runs, ["stg_orders"])
     assert values(done, "model", "raw_table", "execute") == [("stg_orders", "orders", False)]
     assert runlog.watermark(done, "orders", None) == datetime(2024, 1, 3)
     raw = rows([(DAY,), (DAY + timedelta(3),), (None,)], "dw_metadata_dbt_copied_at timestamp")

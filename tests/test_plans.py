@@ -197,3 +197,28 @@ def test_history_rewrites_only_months_with_news(loaded):
     assert parts["p=000000001"] == ["_part=2024-01"]
     assert parts["p=000000002"] == ["_part=2024-01", "_part=2024-02"]
     assert (Path(loaded.folder("stg_ataru_hakemus")) / "a=000000002").exists()
+
+
+def test_cleanup_only_after_release(spark, tmp_path):
+    from lakemart.plans import housekeeping
+
+    tables = Tables(spark, str(tmp_path))
+    deliveries = [(d.FIRST, d.FIRST_AT), (d.SECOND, d.SECOND_AT)]
+    for n, at in ((1, datetime(2024, 1, 10, 13)), (2, datetime(2024, 2, 10, 11))):
+        done = run(tables, sources(spark, *deliveries[:n]), at, ["dw_sure_suoritus"])
+        completed = housekeeping.note_run(tables, done, at)
+    assert rows(completed, "raw_table", "start_time", "execute") == [("sure_suoritus", datetime(2024, 2, 10, 11), False)]
+    assert housekeeping.clean(tables) == [] and tables.read("stg_sure_suoritus").count() == 3
+    housekeeping.release(tables, "sure_suoritus")
+    assert housekeeping.clean(tables) == ["sure_suoritus"]
+    assert rows(tables.read("stg_sure_suoritus"), "resourceid", "poistettu") == [("S1", True)]
+
+
+def test_results_without_queue_are_orphans(rebuilt, spark):
+    from lakemart.plans.housekeeping import without_orphans
+
+    results = spark.createDataFrame(
+        [(d.T1, "J1"), (d.T1, "J9"), (d.T2, "J1")], "hakukohde_oid string, valintatapajono_oid string"
+    )
+    kept = without_orphans(results, rebuilt["int_valintaperusteet_hakukohde"])
+    assert rows(kept, "hakukohde_oid", "valintatapajono_oid") == [(d.T1, "J1")]
