@@ -17,7 +17,7 @@ NOW = "2024-06-01 00:00:00"
 SHARED = {
     "int_koodisto_koodi", "int_koodisto_relaatio", "int_ataru_hakemus", "int_organisaatio", "int_hakutoive",
     "int_koodisto_koulutus_alat_ja_asteet", "int_onr_henkilo", "pub_dim_koulutus", "pub_dim_hakukohde", "pub_dim_henkilo",
-    "int_valintarekisteri_ilmoittautuminen", "int_valintarekisteri_vastaanotto",
+    "int_valintarekisteri_ilmoittautuminen", "int_valintarekisteri_vastaanotto", "stg_valintarekisteri_jonosija",
 }
 # (application, folder) -> model -> where it is stored
 STORED: dict[tuple[str, str], dict[str, str]] = {}
