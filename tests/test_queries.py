@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from lakemart.queries.registry import ORACLES as SQL
+from lakemart.queries.registry import QUERIES
 from tests.oracle import BASE, connect, differences
 
 FOLDER = f"{BASE}/sf0.001"
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
