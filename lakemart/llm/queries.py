@@ -32,3 +32,24 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query()
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, folder, "documents"))
+
+
+def word_vocabulary() -> str:
+    """The public vocabulary that sequences are packed with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"), word_vocabulary())
