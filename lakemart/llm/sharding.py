@@ -1,9 +1,9 @@
 """Byte-balanced shards by Karmarkar-Karp differencing.
 
-Documents with equal texts form one group, which is never split.  The groups are
-dealt over tasks by a hash; each task combines its groups into one partial
-partition.  These partial partitions are again combined, level by level, until
-one is left, so no task ever holds more than a bounded number of them.
+Documents with equal texts form one group, which is never split.  Few groups can
+be heavy: those are combined first, in one task.  All others are dealt over tasks
+by a hash; each task combines its groups together with its share of the heavy
+groups' partial partition, so that it fills what the heavy groups leave uneven.
 """
 
 from __future__ import annotations
@@ -65,57 +65,40 @@ def combine(partials: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _first_level(shards: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["weight", "member"], ascending=[False, True])
-        placed = combine([[w] + [0] * (shards - 1) for w in pdf["weight"].tolist()])
-        return pd.DataFrame({"member": pdf["member"], "task": pdf["task"], "part": [t[0] for t in placed], "weight": pdf["weight"]})
-
-    return run
-
+def _combine_task(base: list[int]):
+    """Combine the groups of a task with a partial partition whose parts already
+    stand for shards."""
+    shards = len(base)
 
-def _next_level(shards: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        members = pdf["member"].drop_duplicates().sort_values().tolist()
-        sums = {m: [0] * shards for m in members}
-        for m, p, w in zip(pdf["member"], pdf["part"], pdf["weight"]):
-            sums[m][p] = w
-        placed = combine([sums[m] for m in members])
-        rows = [(m, part, int(pdf["task"].iloc[0]), t[part], sums[m][part]) for m, t in zip(members, placed) for part in range(shards)]
-        return pd.DataFrame(rows, columns=["member", "part", "task", "placed", "weight"])
+        pdf = pdf.sort_values(["weight", "member"], ascending=[False, True])
+        placed = combine([base] + [[w] + [0] * (shards - 1) for w in pdf["weight"].tolist()])
+        shard_of = {at: k for k, at in enumerate(placed[0])}
+        return pd.DataFrame({"member": pdf["member"], "shard": [shard_of[t[0]] for t in placed[1:]], "weight": pdf["weight"]})
 
     return run
 
 
 def place_groups(groups: DataFrame, shards: int = SHARDS, per_task: int = PER_TASK) -> DataFrame:
-    """(member, shard) for groups of (member, weight): a tree of differencing tasks.
+    """(member, shard) for groups of (member, weight).
 
     Members are distinct and not null, weights are whole numbers of at least 0.
     """
-    tasks = max(1, -(-groups.count() // per_task))
-    dealt = groups.select("member", "weight", F.pmod(F.xxhash64("member"), F.lit(tasks)).alias("task"))
-    placed = stored(
-        dealt.groupBy("task").applyInPandas(_first_level(shards), f"member {dict(groups.dtypes)['member']}, task long, part int, weight long"), "placed"
+    groups = stored(groups.select("member", "weight"), "groups")
+    size = groups.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("total")).first()
+    schema = f"member {dict(groups.dtypes)['member']}, shard int, weight long"
+    tasks = max(1, -(-size["n"] // per_task))
+    if tasks == 1:
+        return groups.withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_combine_task([0] * shards), schema).drop("weight")
+    # fewer than `per_task` groups can weigh more than this
+    heavy = F.col("weight") > size["total"] / per_task
+    first = stored(
+        groups.filter(heavy).withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_combine_task([0] * shards), schema), "heavy"
     )
-    while tasks > 1:
-        # one row for each task and part: at most `shards` rows for `per_task` groups
-        sums = placed.groupBy(F.col("task").alias("member"), "part").agg(F.sum("weight").alias("weight"))
-        fewer = -(-tasks // per_task)
-        level = stored(
-            sums.withColumn("task", F.pmod(F.xxhash64("member"), F.lit(fewer))).groupBy("task").applyInPandas(
-                _next_level(shards), "member long, part int, task long, placed int, weight long"
-            ),
-            "level",
-        )
-        up = level.select(F.col("member").alias("_task"), F.col("part").alias("_part"), F.col("task").alias("_up"), "placed")
-        placed = stored(
-            placed.join(up, (F.col("task") == F.col("_task")) & (F.col("part") == F.col("_part"))).select(
-                "member", F.col("_up").alias("task"), F.col("placed").alias("part"), "weight"
-            ),
-            "placed",
-        )
-        tasks = fewer
-    return placed.select("member", F.col("part").alias("shard"))
+    sums = {r["shard"]: r["w"] for r in first.groupBy("shard").agg(F.sum("weight").alias("w")).collect()}
+    share = [sums.get(k, 0) // tasks for k in range(shards)]
+    dealt = groups.filter(~heavy).withColumn("task", F.pmod(F.xxhash64("member"), F.lit(tasks)))
+    return first.unionByName(dealt.groupBy("task").applyInPandas(_combine_task(share), schema)).drop("weight")
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, per_task: int = PER_TASK) -> DataFrame:
