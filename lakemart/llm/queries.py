@@ -53,3 +53,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.packing import pack
 
     return pack(table(spark, folder, "documents"), word_vocabulary())
+
+
+def _license_sql() -> str:
+    from lakemart.llm.licenses import oracle
+
+    return oracle()
+
+
+@query(_license_sql())
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, folder, "documents"), keep=["doc_id"]).select("doc_id", "n_matches", "license", "dice")
