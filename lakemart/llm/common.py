@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakemart.session import stored, tune
@@ -18,8 +20,25 @@ from lakemart.sources.tables import read_table
 BATCH_ROWS = 1000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        file = Path(tempfile.mkdtemp(prefix="lakemart-code-"), f"{package.name}.zip")
+        with zipfile.ZipFile(file, "w") as out:
+            for module in sorted(package.rglob("*.py")):
+                out.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(file))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a folder, with the session set up for Arrow batches of documents."""
+    ship(spark)
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return read_table(spark, folder, name)
 
@@ -51,7 +70,7 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
-def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_cell: int = 100_000, rows: int | None = None) -> DataFrame:
+def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_cell: int = 10_000, rows: int | None = None) -> DataFrame:
     """Number the rows of each group from 0 without gaps.
 
     A group may hold any share of the table: its rows are dealt over cells by a
@@ -74,4 +93,4 @@ def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_
     return numbered.join(starts, same).withColumn(name, (F.col("_start") + F.col("_row")).cast("long")).drop("_cell", "_at", "_start", "_row", *[f"_{c}" for c in by])
 
 
-__all__ = ["BATCH_ROWS", "gapless", "per_batch", "stored", "table", "texts"]
+__all__ = ["BATCH_ROWS", "gapless", "per_batch", "ship", "stored", "table", "texts"]

@@ -66,3 +66,10 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, folder, "documents"), keep=["doc_id"]).select("doc_id", "n_matches", "license", "dice")
+
+
+@query()
+def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
