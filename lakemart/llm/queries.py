@@ -73,3 +73,11 @@ def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.toxicity import score_toxicity
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, folder, "labels"), keep=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
