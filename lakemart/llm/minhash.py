@@ -27,6 +27,8 @@ TREES = 30
 #: Signature positions that make a region, and further ones where it is crowded.
 DEPTH, DEEPER = 4, (6, 9, 13, 18)
 CROWDED = 24
+#: Members of a crowded part that unjoined documents are compared with.
+LEADERS = 10
 
 _U = np.uint64
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -146,10 +148,13 @@ def _unjoined(deep: DataFrame, labels: DataFrame) -> DataFrame:
     placed = deep.select("part", "node").join(met, "node").join(labels, "node", "left").select(
         "part", "node", "met", F.coalesce("label", "node").alias("label")
     )
-    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("part")
+    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    mixed = mixed.filter("low < high").select("part", "n")
     a = placed.join(mixed, "part")
     first = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("met"), "node"))
-    b = a.withColumn("place", first).filter(F.col("place") <= CROWDED).select("part", F.col("node").alias("b"), F.col("label").alias("other"))
+    several = F.col("n") <= CROWDED
+    b = a.withColumn("place", first).filter((F.col("place") <= LEADERS) | several & (F.col("place") <= CROWDED))
+    b = b.select("part", F.col("node").alias("b"), F.col("label").alias("other"))
     pairs = a.join(b, "part").filter("label <> other")
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 

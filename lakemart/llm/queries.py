@@ -81,3 +81,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return score_toxicity(docs, table(spark, folder, "labels"), keep=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
