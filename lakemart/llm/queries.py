@@ -88,3 +88,11 @@ def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.substrings import remove_repeats
 
     return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.lines import remove_lines
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return remove_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
