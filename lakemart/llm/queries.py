@@ -96,3 +96,11 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return remove_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.neighbours import search
+
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return search(vectors, vectors.filter("vec_id % 20 = 0"))
