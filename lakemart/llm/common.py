@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -13,13 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakemart.session import stored, tune
+from lakemart import session
+from lakemart.session import tune
 from lakemart.sources.tables import read_table
 
 #: Rows in one Arrow batch; documents can be long, so batches are kept small.
 BATCH_ROWS = 1000
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back; the shuffle files
+    of the steps before it are let go."""
+    out = session.stored(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 _shipped: set[str] = set()
 
 
@@ -36,11 +47,16 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One table of a folder, with the session set up for Arrow batches of documents."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set a session up for Python workers and Arrow batches of documents."""
     ship(spark)
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return read_table(spark, folder, name)
+    return spark
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table of a folder."""
+    return read_table(prepare(spark), folder, name)
 
 
 def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Iterable]], added: str, keep: list[str] | None = None) -> DataFrame:
@@ -93,4 +109,4 @@ def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_
     return numbered.join(starts, same).withColumn(name, (F.col("_start") + F.col("_row")).cast("long")).drop("_cell", "_at", "_start", "_row", *[f"_{c}" for c in by])
 
 
-__all__ = ["BATCH_ROWS", "gapless", "per_batch", "ship", "stored", "table", "texts"]
+__all__ = ["BATCH_ROWS", "gapless", "per_batch", "prepare", "ship", "stored", "table", "texts"]

@@ -104,3 +104,18 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query()
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.html import extract
+
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract(pages, keep=["page_id", "url"])
+
+
+@query()
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, folder)
