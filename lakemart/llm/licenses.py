@@ -67,8 +67,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     templates = TEMPLATES if templates is None else templates
     bigrams = [template_bigrams(t) for _, t in templates]
     sizes = [len(b) for b in bigrams]
-    # 2 min / (a + b) >= least only between these sizes
-    ratio = least / (2 - least)
+    # 2 min / (a + b) >= least only between these sizes; a little wider for rounding
+    ratio = least / (2 - least) * (1 - 1e-9)
     known = F.array(*[F.struct(F.lit(-k).alias("k"), F.lit(len(b)).alias("n"), F.array(*[F.lit(x) for x in b]).alias("b")) for k, b in enumerate(bigrams)])
 
     def best(unit: Column) -> Column:

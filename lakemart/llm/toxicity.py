@@ -213,9 +213,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str] | None =
     toxic, fold = taken["toxic"].to_numpy(), taken["fold"].to_numpy()
     held_out = F.coalesce(remainder() == 2, F.lit(False))
     names = ("held_out", "score", "predicted", "_features")
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    unknown = docs.select(*kept, held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     if not {(0, 0), (0, 1), (1, 0), (1, 1)} <= set(zip(fold.tolist(), toxic.tolist())):
-        kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
-        return docs.select(*kept, held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return unknown
     counts = _count(docs, ids, 2 * fold + toxic)
     column = F.col
     table = _table(_ratios(counts, column("n_01"), column("n_00")))
@@ -230,10 +231,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str] | None =
     rated = _rate(learnt.mapInArrow(labelled, learnt.schema), table, ["doc_id"]).toArrow()
     x = np.array(rated["_features"].to_pylist(), np.float64).reshape(-1, TOP_WORDS + 2)
     y = toxic[np.searchsorted(ids, rated["doc_id"].to_numpy())]
+    if len(set(y.tolist())) < 2:
+        return unknown
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     weights = _fit((x - middle) / spread, y.astype(np.float64))
     table = _table(_ratios(counts, column("n_01") + column("n_11"), column("n_00") + column("n_10")))
-    kept = None if keep is None else [c for c in keep if c.lower() not in names]
     found = _rate(docs, table, kept)
     linear = F.lit(float(weights[-1]))
     for k in range(TOP_WORDS + 2):
