@@ -8,42 +8,41 @@ from pyspark.sql import functions as F
 from lakemart.session import cut_lineage
 
 
-class HierarchyTooDeep(RuntimeError):
+class HierarchyCycle(RuntimeError):
     pass
 
 
-def closure(nodes: DataFrame, child: str, parent: str, max_depth: int = 64) -> DataFrame:
+def closure(nodes: DataFrame, child: str, parent: str) -> DataFrame:
     """All (ancestor, descendant, distance) pairs with distance >= 1.
 
-    Each round extends the pairs found last by one level.  The pairs of a
-    round are stored in the shared folder, so the plan stays one join deep.
-    A chain longer than ``max_depth`` is taken for a cycle and refused.
+    Each round joins the pairs of the greatest distance with all pairs, so the
+    distance doubles and a chain of n levels takes about log n rounds.  The pairs
+    of a round are stored in the shared folder, so the plan stays one join deep.
+    A node that comes out as its own ancestor stands on a cycle and is refused.
     """
     edges = nodes.filter(F.col(parent).isNotNull() & (F.col(parent) != F.col(child))).select(
-        F.col(child).alias("_child"), F.col(parent).alias("_parent")
+        F.col(parent).alias("ancestor"), F.col(child).alias("descendant"), F.lit(1).alias("distance")
     ).distinct()
-    found = cut_lineage(
-        edges.select(F.col("_parent").alias("ancestor"), F.col("_child").alias("descendant"), F.lit(1).alias("distance"))
-    )
-    total, depth = found, 1
+    total, reach = cut_lineage(edges), 1
     while True:
-        found = cut_lineage(
-            found.join(edges, F.col("ancestor") == F.col("_child")).select(
-                F.col("_parent").alias("ancestor"), "descendant", (F.col("distance") + 1).alias("distance")
-            )
+        far = total.filter(F.col("distance") == reach).select(
+            F.col("ancestor"), F.col("descendant").alias("_middle"), F.col("distance").alias("_far")
         )
-        if found.isEmpty():
+        near = total.select(F.col("ancestor").alias("_middle"), "descendant", "distance")
+        further = cut_lineage(
+            far.join(near, "_middle").select("ancestor", "descendant", (F.col("_far") + F.col("distance")).alias("distance")).distinct()
+        )
+        if further.isEmpty():
             return total
-        depth += 1
-        if depth > max_depth:
-            raise HierarchyTooDeep(f"more than {max_depth} levels; the parent column may hold a cycle")
-        total = total.unionByName(found)
+        if not further.filter(F.col("ancestor") == F.col("descendant")).isEmpty():
+            raise HierarchyCycle("the parent column holds a cycle")
+        total, reach = cut_lineage(total.unionByName(further)), 2 * reach
 
 
-def closure_with_self(nodes: DataFrame, child: str, parent: str, max_depth: int = 64) -> DataFrame:
+def closure_with_self(nodes: DataFrame, child: str, parent: str) -> DataFrame:
     """Closure plus every node paired with itself."""
     itself = nodes.select(F.col(child).alias("ancestor"), F.col(child).alias("descendant"), F.lit(0).alias("distance"))
-    return closure(nodes, child, parent, max_depth).unionByName(itself).distinct()
+    return closure(nodes, child, parent).unionByName(itself).distinct()
 
 
 def ancestors_by_level(nodes: DataFrame, child: str, parent: str, payload: list[str], levels: int) -> DataFrame:

@@ -7,18 +7,6 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.latest import first_per_key
 
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small.
-
-    The count stops one row past the bound; beyond it the frame is returned
-    as it is and Spark joins it by shuffle.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def keep_matching(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """EXISTS / IN."""
     return left.join(right.select(*keys), keys, "left_semi")

@@ -60,8 +60,11 @@ def with_maximum_flag(df: DataFrame, keys: list[str], value: str, flag: str) ->
     return joined.withColumn(flag, F.col(value) == F.col("_top")).drop("_top", *[f"_k{i}" for i in range(len(keys))])
 
 
-def last_of_peers(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
+def last_of_peers(df: DataFrame, keys: list[str], order: str, value: str, out: str, *ties: str) -> DataFrame:
     """Running last value in the default frame: the frame ends with the rows
-    that share the order value, so it is the last value among those peers."""
-    last = df.groupBy(*keys, order).agg(F.max(value).alias(out))
-    return df.join(last, [*keys, order], "left")
+    that share the order value, so it is the last value among those peers in the
+    order of `ties`.  NULL keys and NULL order values are peers of their own."""
+    names = {c: f"_k{i}" for i, c in enumerate([*keys, order])}
+    last = df.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.max(F.struct(*(ties or [value]), F.col(value).alias("_last"))).alias("_top"))
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return df.join(last, same, "left").withColumn(out, F.col("_top._last")).drop("_top", *names.values())

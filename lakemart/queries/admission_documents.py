@@ -14,7 +14,6 @@ from lakemart.plans.catalog import raw_defaults
 from lakemart.queries.registry import Source
 from lakemart.session import work_path
 
-PLACES = 7
 TARGET = "1.2.246.562.20."
 FORM = "00000000-0000-0000-0000-000000000001"
 GROUP_SIZE = 100
@@ -48,12 +47,6 @@ def obj(**fields) -> Column:
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in fields.items()])
 
 
-def lines(t: Source) -> DataFrame:
-    """One line per order and line number: the lowest part."""
-    first = F.min(F.struct("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")).alias("l")
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(first).select("l_orderkey", "l_linenumber", "l.*")
-
-
 def results(t: Source) -> DataFrame:
     """One result per order and part, with the order's customer.  Several raw
     tables start from it, so it is written to the shared folder once."""
@@ -65,19 +58,18 @@ def results(t: Source) -> DataFrame:
 
 
 def _results(t: Source) -> DataFrame:
-    first = F.min(F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")).alias("l")
-    per_part = lines(t).groupBy("l_orderkey", "l_partkey").agg(first).select("l_orderkey", "l_partkey", "l.*")
+    """Of the line items of an order with one part, the first is its result."""
+    order = ["l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus"]
+    first = F.min(F.struct(*order)).alias("l")
+    per_part = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(first).select("l_orderkey", "l_partkey", "l.*")
     return per_part.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def choices_per_order(t: Source) -> DataFrame:
-    """Up to seven choices of an order in the order of its line numbers."""
-    nth = [F.max(F.when(F.col("l_linenumber") == n, text(TARGET, "l_partkey"))) for n in range(1, PLACES + 1)]
-    lists = lines(t).groupBy("l_orderkey").agg(*[c.alias(f"c{i}") for i, c in enumerate(nth)])
-    return lists.select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.array_distinct(F.array_compact(F.array(*[f"c{i}" for i in range(PLACES)]))).alias("choices"),
-    )
+    """All choices of an order in the order of its line numbers, a target once."""
+    item = F.struct("l_linenumber", "l_partkey")
+    lists = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    return lists.select("o_orderkey", F.array_distinct(F.transform("items", lambda x: text(TARGET, x["l_partkey"]))).alias("choices"))
 
 
 def search_of(priority: str = "o_orderpriority") -> Column:

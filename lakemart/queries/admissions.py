@@ -53,13 +53,11 @@ def marts(t: Source, *wanted: str) -> list[DataFrame]:
 
 
 # the derived choices and results, for the SQL twins
-CHOICES = f"""
-    line AS (SELECT l_orderkey AS ok, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, l_returnflag AS flag, l_linestatus AS st
-             FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                  ORDER BY l_partkey, l_suppkey, l_returnflag, l_linestatus) = 1),
+CHOICES = """
+    line AS (SELECT l_orderkey AS ok, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, l_returnflag AS flag, l_linestatus AS st FROM lineitem),
     result AS (SELECT *, o_custkey AS ck FROM line JOIN orders ON o_orderkey = ok
-               QUALIFY row_number() OVER (PARTITION BY ok, pk ORDER BY ln) = 1),
-    choice AS (SELECT *, row_number() OVER (PARTITION BY ok ORDER BY ln) AS nr FROM result WHERE ln <= {documents.PLACES}),
+               QUALIFY row_number() OVER (PARTITION BY ok, pk ORDER BY ln, sk, flag, st) = 1),
+    choice AS (SELECT *, row_number() OVER (PARTITION BY ok ORDER BY ln, pk) AS nr FROM result),
     valid AS (SELECT * FROM choice WHERE NOT (o_orderstatus = 'P' AND o_totalprice > 400000))
 """
 STATE = """

@@ -19,8 +19,8 @@ from lakemart.queries.registry import Source, query
 def left_join_chain(t: Source) -> DataFrame:
     return (
         t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(joins.small(t.nation), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-        .join(joins.small(t.region), F.col("r_regionkey") == F.col("n_regionkey"), "left")
+        .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+        .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"), "left")
         .select("o_orderkey", "c_name", "n_name", "r_name")
     )
 
@@ -149,20 +149,17 @@ def lateral_first(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT conv_id, CAST(turn AS INT) AS turn, word AS region_word, r_regionkey
+    SELECT conv_id, CAST(turn AS INT) AS turn, word AS item_word, item_id
     FROM (SELECT conv_id, turn, unnest(list_distinct(string_split(text, ' '))) AS word FROM conversations)
-    JOIN (SELECT min(item_id) AS r_regionkey, w FROM
-          (SELECT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark) GROUP BY w) ON w = word
+    JOIN (SELECT DISTINCT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark) ON w = word
     """
 )
 def containment_join(t: Source) -> DataFrame:
-    """Turns paired with the words of a vocabulary that their text holds."""
-    vocabulary = t.benchmark.select("item_id", F.explode(F.split("text", " ")).alias("w")).groupBy("w").agg(
-        F.min("item_id").alias("r_regionkey")
-    )
+    """Turns paired with every item that shares a word with their text."""
+    vocabulary = t.benchmark.select("item_id", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
     turns = t.conversations.withColumn("words", F.split("text", " "))
     return joins.member_of(vocabulary, "w", turns, "words").select(
-        "conv_id", F.col("turn").cast("int").alias("turn"), F.col("w").alias("region_word"), "r_regionkey"
+        "conv_id", F.col("turn").cast("int").alias("turn"), F.col("w").alias("item_word"), "item_id"
     )
 
 

@@ -132,14 +132,15 @@ def mart_applicants_higher(t: Source) -> DataFrame:
     SELECT md5('A' || ok || '-{documents.TARGET}' || pk) AS hakutoive_id, 'A' || ok AS hakemus_oid, '{documents.TARGET}' || pk AS hakukohde_oid,
            CASE WHEN nr = 1 THEN ck % 2 = 0 END AS sora_terveys, CASE WHEN nr = 1 THEN true END AS sora_aiempi, enrolled AS tila,
            CASE WHEN nr = 1 AND o_orderstatus = 'O' THEN ck % 2 = 0 END AS kaksoistutkinto_kiinnostaa,
-           CASE WHEN o_orderstatus = 'F' AND pk BETWEEN 100 AND 199 THEN true END AS urheilijatutkinto_kiinnostaa
+           CASE WHEN o_orderstatus = 'F' AND pk BETWEEN 100 AND 199 THEN true END AS urheilijatutkinto_kiinnostaa,
+           CAST(NULL AS VARCHAR) AS harkinnanvaraisuuden_syy, CAST(NULL AS VARCHAR) AS pohjakoulutus, CAST(NULL AS VARCHAR) AS pohjakoulutus_nimi
     FROM valid LEFT JOIN enrolled USING (ck, pk) WHERE o_orderpriority >= '3'
     """
 )
 def mart_applicants_secondary(t: Source) -> DataFrame:
     """Answers about health, double degrees and athletes' degrees per choice."""
     (report,) = marts(t, "pub_fct_raportti_hakijat_toinen_aste")
-    return report.drop("harkinnanvaraisuuden_syy", "pohjakoulutus", "pohjakoulutus_nimi")
+    return report
 
 
 SPRING_2025 = '{"type":"kausivuosi","koulutuksenAlkamisvuosi":2025,"koulutuksenAlkamiskausiKoodiUri":"kausi_k#1"}'
@@ -153,14 +154,14 @@ AUTUMN_2024 = '{"type":"kausivuosi","koulutuksenAlkamisvuosi":2024,"koulutuksenA
               UNION SELECT nr, CASE WHEN p_size % 2 = 1 THEN '{SPRING_2025}' WHEN p_size % 10 = 0 THEN '{AUTUMN_2024}'
                                ELSE '{{"type":"eialkamiskautta"}}' END
               FROM search JOIN part ON CAST(p_size % 5 + 1 AS VARCHAR) = nr)
-    SELECT 'H' || nr AS haku_oid, '[' || string_agg(s, ',' ORDER BY s) || ']' AS koulutuksen_alkamiskausi,
+    SELECT 'H' || nr AS haku_oid, any_value('{{"en":"' || p || '","sv":"' || p || '","fi":"' || p || '"}}') AS haku_nimi, '[' || string_agg(s, ',' ORDER BY s) || ']' AS koulutuksen_alkamiskausi,
            CASE WHEN nr < '3' THEN 'korkeakoulu' ELSE 'toinen_aste' END AS haun_tyyppi
-    FROM start GROUP BY nr
+    FROM start JOIN (SELECT DISTINCT o_orderpriority AS p FROM orders) ON left(p, 1) = nr GROUP BY nr
     """
 )
 def mart_search_seasons(t: Source) -> DataFrame:
     (report,) = marts(t, "pub_dim_kontrolli_haku")
-    return report.drop("haku_nimi")
+    return report
 
 
 @query(
@@ -195,18 +196,17 @@ def mart_institution_offices(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT 'O' || p_partkey AS jarjestyspaikka_oid, name AS organisaatio_nimi, 'O' || top AS oppilaitos FROM
-      (SELECT s.s_suppkey AS p_partkey, CASE WHEN s.s_suppkey < 10 THEN s.s_suppkey ELSE CAST(left(CAST(s.s_suppkey AS VARCHAR), 1) AS BIGINT) END AS top,
-              CASE WHEN s.s_suppkey < 10 THEN s.s_name ELSE u.s_name || ', ' || s.s_name END AS name
-       FROM supplier s LEFT JOIN supplier u ON u.s_suppkey = s.s_suppkey // 10)
-    WHERE top > 0 AND p_partkey < 100
+    WITH RECURSIVE names AS (
+        SELECT s_suppkey AS k, s_name AS name, s_name AS own, CASE WHEN s_suppkey > 0 THEN s_suppkey END AS top FROM supplier WHERE s_suppkey < 10
+        UNION ALL SELECT s_suppkey, CASE WHEN k < 10 THEN '' ELSE name || ', ' END || own || ', ' || s_name, s_name, top
+        FROM names JOIN supplier ON s_suppkey // 10 = k AND s_suppkey >= 10)
+    SELECT 'O' || k AS jarjestyspaikka_oid, name AS organisaatio_nimi, 'O' || top AS oppilaitos FROM names
     """
 )
 def mart_place_names(t: Source) -> DataFrame:
     """Places of study with the names and ids of the organisations above."""
     (names,) = marts(t, "int_organisaatio_hakukohteiden_nimet")
-    short = F.length("jarjestyspaikka_oid") <= 3
-    return names.filter(short & F.col("oppilaitos").isNotNull()).select(
+    return names.select(
         "jarjestyspaikka_oid", F.get_json_object("organisaatio_nimi", "$.fi").alias("organisaatio_nimi"), "oppilaitos"
     )
 
@@ -275,15 +275,28 @@ def mart_register(t: Source) -> DataFrame:
 
 
 @query(
-    """
-    SELECT 'A' || o_orderkey AS hakemus_oid, kysymys, CASE kysymys WHEN 'home-town' THEN CAST(o_custkey % 25 AS VARCHAR) ELSE '[["246"]]' END AS vastaus
-    FROM orders, (VALUES ('home-town'), ('nationality')) AS q(kysymys)
+    f"""
+    WITH {CHOICES},
+    answers AS (
+        SELECT o_orderkey, unnest([
+            {{'q': 'home-town', 'a': CAST(o_custkey % 25 AS VARCHAR)}}, {{'q': 'country-of-residence', 'a': '246'}},
+            {{'q': 'gender', 'a': CASE WHEN o_custkey % 2 = 0 THEN 'mies' ELSE '2' END}}, {{'q': 'asiointikieli', 'a': '1'}},
+            {{'q': 'nationality', 'a': '[["246"]]'}}, {{'q': 'higher-completed-base-education', 'a': '["pohjakoulutus_yo"]'}},
+            {{'q': CASE WHEN o_orderstatus = 'O' THEN '{documents.DOUBLE}' END, 'a': 'x'}},
+            {{'q': CASE WHEN o_orderstatus = 'F' THEN '{documents.ATHLETE}' END, 'a': '0'}},
+            {{'q': CASE WHEN o_orderstatus = 'F' THEN '1dc3311d-2235-40d6-88d2-de2bd63e087b' END, 'a': '0'}},
+            {{'q': CASE WHEN pk IS NOT NULL AND o_orderpriority >= '3' THEN 'sora-terveys_{documents.TARGET}' || pk END, 'a': CAST((o_custkey + 1) % 2 AS VARCHAR)}},
+            {{'q': CASE WHEN pk IS NOT NULL AND o_orderpriority >= '3' THEN 'sora-aiempi_{documents.TARGET}' || pk END, 'a': '1'}},
+            {{'q': CASE WHEN pk IS NOT NULL AND o_orderpriority >= '3' THEN 'sora-terveys' END, 'a': '0'}},
+            {{'q': CASE WHEN pk IS NOT NULL AND o_orderstatus = 'O' THEN '{documents.DOUBLE}_{documents.TARGET}' || pk END, 'a': CAST(o_custkey % 2 AS VARCHAR)}}
+        ]) AS x FROM orders LEFT JOIN (SELECT ok, pk FROM choice WHERE nr = 1) ON ok = o_orderkey)
+    SELECT 'A' || o_orderkey AS hakemus_oid, x.q AS kysymys, x.a AS vastaus FROM answers WHERE x.q IS NOT NULL
     """
 )
 def mart_answers(t: Source) -> DataFrame:
-    """Answers of applications as rows; two of the questions are shown."""
+    """Answers of applications as rows."""
     (rows,) = marts(t, "gen_hakemus_tieto")
-    return rows.filter(F.col("kysymys").isin("home-town", "nationality")).select("hakemus_oid", "kysymys", "vastaus")
+    return rows.select("hakemus_oid", "kysymys", "vastaus")
 
 
 @query(

@@ -99,16 +99,17 @@ def epoch_and_iso(t: Source) -> DataFrame:
     WITH o AS (SELECT o_orderkey, o_orderdate, year(o_orderdate) AS y FROM orders),
     bounds AS (SELECT *,
         make_timestamp(y, 3, 31 - CAST(dayofweek(make_timestamp(y, 3, 31, 0, 0, 0)) AS INT), 3, 0, 0) AS spring,
-        make_timestamp(y, 10, 31 - CAST(dayofweek(make_timestamp(y, 10, 31, 0, 0, 0)) AS INT), 4, 0, 0) AS autumn FROM o)
+        CASE WHEN y >= 1996 THEN make_timestamp(y, 10, 31 - CAST(dayofweek(make_timestamp(y, 10, 31, 0, 0, 0)) AS INT), 4, 0, 0)
+             ELSE make_timestamp(y, 9, 30 - CAST(dayofweek(make_timestamp(y, 9, 30, 0, 0, 0)) AS INT), 4, 0, 0) END AS autumn FROM o)
     SELECT o_orderkey, strftime(o_orderdate - CASE WHEN o_orderdate >= spring AND o_orderdate < autumn
            THEN INTERVAL 3 HOUR ELSE INTERVAL 2 HOUR END, '%Y-%m-%d %H:%M:%S') AS instant
-    FROM bounds WHERE y >= 1996
+    FROM bounds
     """
 )
 def wall_clock_shift(t: Source) -> DataFrame:
-    """Midnights read as Helsinki wall clock; from 1996 on summer time runs
-    from the last Sunday of March to the last Sunday of October."""
-    orders = t.orders.filter(F.year("o_orderdate") >= 1996)
+    """Midnights read as Helsinki wall clock; summer time runs from the last
+    Sunday of March to the last Sunday of October, before 1996 of September."""
+    orders = t.orders
     instant = times.helsinki_wall_clock(F.col("o_orderdate").cast("timestamp"))
     return orders.select("o_orderkey", F.date_format(instant, "yyyy-MM-dd HH:mm:ss").alias("instant"))
 

@@ -98,15 +98,18 @@ def distinct_on_expression(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT o_orderkey, o_custkey, last_value(o_orderkey) OVER (
-        PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY o_orderkey
-        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_key
-    FROM orders
+    SELECT o_orderkey, o_custkey, last_value(o_orderkey ORDER BY month, o_totalprice, o_orderkey) OVER (
+        PARTITION BY nullif(o_custkey, 1) ORDER BY month) AS last_key
+    FROM (SELECT *, nullif(date_trunc('month', o_orderdate), TIMESTAMP '1995-01-01') AS month FROM orders)
     """
 )
 def running_last_value(t: Source) -> DataFrame:
-    orders = t.orders.withColumn("month", F.date_trunc("month", "o_orderdate"))
-    return latest.last_of_peers(orders, ["o_custkey"], "month", "o_orderkey", "last_key").select(
+    """Some customers and months are made NULL, which are peers as well."""
+    orders = t.orders.withColumns({
+        "month": F.nullif(F.date_trunc("month", F.col("o_orderdate").cast("timestamp")), F.lit("1995-01-01").cast("timestamp")),
+        "customer": F.nullif("o_custkey", F.lit(1)),
+    })
+    return latest.last_of_peers(orders, ["customer"], "month", "o_orderkey", "last_key", "o_totalprice", "o_orderkey").select(
         "o_orderkey", "o_custkey", "last_key"
     )
 

@@ -86,11 +86,13 @@ def land_files(spark: SparkSession, path: str, now: Column) -> DataFrame:
 
 
 def land_element_lines(spark: SparkSession, path: str, now: Column) -> DataFrame:
-    """Read huge array files that hold one element per line.
+    """Read huge array files whose lines hold whole elements: one, several, or
+    none where separators stand on lines of their own.
 
-    Lines are split over tasks like any text file.  The row number inside the
-    file comes from a count per file block: the few block counts are summed up
-    per file and joined back, so no file is ordered as a whole.
+    Lines are split over tasks like any text file; a line that is not a list of
+    whole objects is refused.  Elements are numbered as they come out of a file
+    block; the few block counts are summed up per file and joined back, so no
+    file is ordered as a whole.
     """
     lines = (
         spark.read.format("text").option("recursiveFileLookup", True).load(path)
@@ -98,17 +100,16 @@ def land_element_lines(spark: SparkSession, path: str, now: Column) -> DataFrame
             "value",
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
         )
     )
-    whole_object = r"^\s*[\[,]?\s*(\{.*\})\s*[,\]]?\s*$"
-    elements = lines.withColumn(
-        "data",
-        F.when(F.col("value").rlike(whole_object), F.regexp_extract("value", whole_object, 1))
-        .when(F.col("value").rlike(r"^[\[\],\s]*$"), F.lit(None).cast("string"))
-        .otherwise(F.raise_error(F.concat(F.lit("not one object per line: "), F.col("path")))),
-    ).filter(F.col("data").isNotNull())
-    marked = elements.withColumn("slot", F.shiftright("line", 33))
+    # what stands between the separators of the array and its brackets
+    core = F.regexp_replace("value", r"^[\s,\[]+|[\s,\]]+$", "")
+    whole = core.startswith("{") & core.endswith("}")
+    listed = F.from_json(F.concat(F.lit("["), core, F.lit("]")), "array<string>", {"mode": "FAILFAST"})
+    refused = F.raise_error(F.concat(F.lit("not a list of whole objects: "), F.col("path"))).cast("array<string>")
+    none = F.array().cast("array<string>")
+    elements = lines.select("path", "block", F.explode(F.when(core == "", none).when(whole, listed).otherwise(refused)).alias("data"))
+    marked = elements.withColumn("line", F.monotonically_increasing_id()).withColumn("slot", F.shiftright("line", 33))
     blocks = marked.groupBy("path", "block", "slot").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("first"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(

@@ -53,7 +53,7 @@ def test_chunks_are_bounded_arrays_and_both_readers_agree(spark, tmp_path):
 
 def test_line_reader_refuses_other_layouts(spark, tmp_path):
     put(tmp_path, "t__2024-05-01_10.30.00Z__1.json", '[{"a":\n1}]')
-    with pytest.raises(Exception, match="not one object per line"):
+    with pytest.raises(Exception, match="not a list of whole objects"):
         landing.land_element_lines(spark, str(tmp_path), now()).collect()
 
 
@@ -144,3 +144,31 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     assert sorted((r.k, r.v) for r in tables.read("dw_t").collect()) == [(1, "a"), (2, "B"), (3, "c")]
     assert [p.name for p in (tmp_path / "dw_t" / "p=000000002").iterdir() if p.is_dir()] == ["_part=2024-02"]
     assert tables.read("dw_t", ["2030-01"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        '[{"i":1}\n,\n{"i":2}\n,\n{"i":3}\n]',
+        '[{"i":1},{"i":2}\n,{"i":3}]\n',
+        '[\n{"i":1},\n{"i":2},{"i":3}\n]',
+        '[{"i":1}, {"i":2}, {"i":3}]',
+    ],
+)
+def test_element_lines_in_any_layout(spark, tmp_path, body):
+    (tmp_path / "t__2024-01-01_00.00.00Z__1.json").write_text(body)
+    rows = landing.land_element_lines(spark, str(tmp_path), now()).collect()
+    assert sorted((r.dw_metadata_file_row_number, r.data) for r in rows) == [(n, f'{{"i":{n}}}') for n in (1, 2, 3)]
+
+
+def test_element_lines_number_on_over_blocks(spark, tmp_path):
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        body = "[" + "\n,\n".join(f'{{"i":{n}}}' for n in range(1, 201)) + "\n]"
+        (tmp_path / "t__2024-01-01_00.00.00Z__1.json").write_text(body)
+        rows = landing.land_element_lines(spark, str(tmp_path), now())
+        assert rows.rdd.getNumPartitions() > 1
+        assert sorted((r.dw_metadata_file_row_number, r.data) for r in rows.collect()) == [(n, f'{{"i":{n}}}') for n in range(1, 201)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

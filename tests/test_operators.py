@@ -116,12 +116,6 @@ def test_either_equal_counts_each_pair_once(rows):
     assert values(got, "a", "b", "c", "d") == values(want, "a", "b", "c", "d")
 
 
-def test_small_refuses_a_large_side(spark):
-    assert "ResolvedHint" in plan(joins.small(spark.range(5).withColumn("x", F.lit(1)))) or "isBroadcast" in plan(joins.small(spark.range(5)))
-    large = joins.small(spark.range(50), rows=10)
-    assert "broadcast" not in plan(large).lower()
-
-
 def test_object_per_key_last_name_wins(rows):
     df = rows([(1, "b", "x", 1), (1, "a", "y", 1), (1, "b", "z", 2)], "k int, n string, v string, o int")
     assert values(aggregates.object_per_key(df, ["k"], "n", "v", "o", "j"), "j") == [('{"a":"y","b":"z"}',)]
@@ -185,10 +179,27 @@ def test_closure_against_brute_force(spark):
     assert set(values(got, "ancestor", "descendant", "distance")) == want
 
 
-def test_cycle_is_refused(rows):
-    df = rows([(1, 2), (2, 1)], "c int, p int")
-    with pytest.raises(hierarchy.HierarchyTooDeep):
-        hierarchy.closure(df, "c", "p", max_depth=5)
+@pytest.mark.parametrize("length", [1, 2, 3, 7])
+def test_cycle_is_refused(rows, length):
+    df = rows([(i, (i + 1) % length + 100 * (length == 1)) for i in range(length)] + [(50, 0)], "c int, p int")
+    if length == 1:
+        assert hierarchy.closure(df, "c", "p").count() == 3
+    else:
+        with pytest.raises(hierarchy.HierarchyCycle):
+            hierarchy.closure(df, "c", "p")
+
+
+def test_long_chain_closes(rows):
+    df = rows([(i, i + 1) for i in range(70)], "c int, p int")
+    assert hierarchy.closure(df, "c", "p").count() == 70 * 71 // 2
+
+
+def test_last_of_peers_with_nulls(rows):
+    df = rows([("k", None, "h1", 1), (None, 1, "h3", 1), ("k", 1, "a", 2), ("k", 1, "b", 1), ("k", 2, None, 1)], "k string, o int, v string, t int")
+    got = latest.last_of_peers(df, ["k"], "o", "v", "last", "t")
+    assert values(got, "k", "o", "last") == values(
+        rows([("k", None, "h1"), (None, 1, "h3"), ("k", 1, "a"), ("k", 1, "a"), ("k", 2, None)], "k string, o int, last string"), "k", "o", "last"
+    )
 
 
 def test_planted_violations_are_found(rows):
