@@ -45,6 +45,11 @@ class Prefix:
         self.sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTES[raw] * _power(base, len(raw)), out=self.sums[1:])
 
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of all parts of `size` bytes, not mixed."""
+        count = len(self.sums) - size
+        return (self.sums[size:] - self.sums[:-size]) * _power(self.inverse, count)
+
     def parts(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of raw[start:end], not mixed."""
         if not len(start):
