@@ -57,6 +57,14 @@ class Model:
     history: bool = False
     by_month: str | None = None
 
+    @property
+    def dealt_by(self) -> tuple[str, ...]:
+        """Columns whose hash says in which bucket a row is stored; none for
+        tables that are written whole."""
+        if self.by_month or self.after or self.load not in ("merge", "replace", "replace_changed"):
+            return ()
+        return self.parent or self.keys
+
     @property
     def tables(self) -> tuple[str, ...]:
         """Upstream tables, those of the clean-up step included."""
@@ -65,6 +73,8 @@ class Model:
 
 
 MODELS: dict[str, Model] = {}
+#: Buckets of a table that loads change by key, and writes of a table that stay readable.
+BUCKETS, KEPT_WRITES = 64, 3
 
 
 def add(name: str, build: Callable[..., DataFrame], inputs: tuple[str, ...] | None = None, **options) -> Model:
@@ -135,14 +145,14 @@ def _news(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Colum
     return source, _call(m, read, now, target, source)
 
 
-def next_version(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
-    """The stored table after one incremental load."""
-    target = tables.read(m.name)
-    source, batch = _news(m, tables, read, now, target)
-    if m.newer:
-        batch = merge.only_newer(batch, target, list(m.keys), m.newer)
-    # used several times below; its known size lets small batches be broadcast
-    batch = stored(batch, f"batch-{m.name}")
+def bucket(columns: tuple[str, ...]) -> Column:
+    """Bucket of a row: a hash of its key as text, the same for all number types."""
+    number = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in columns]), F.lit(BUCKETS))
+    return F.lpad(number.cast("string"), 4, "0")
+
+
+def _merged(m: Model, target: DataFrame, source: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored rows after a batch, by the load of the model."""
     keys = list(m.keys)
     if m.load == "merge" and m.parent:
         return merge.mark_deleted(target, batch, list(m.parent), keys, changed=source)
@@ -155,6 +165,42 @@ def next_version(m: Model, tables: Tables, read: Callable[[str], DataFrame], now
     raise ValueError(f"{m.name}: no incremental form of load {m.load!r}")
 
 
+def next_version(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+    """The whole table after one incremental load."""
+    target = tables.read(m.name)
+    source, batch = _news(m, tables, read, now, target)
+    if m.newer:
+        batch = merge.only_newer(batch, target, list(m.keys), m.newer)
+    # used several times; its known size lets small batches be broadcast
+    return _merged(m, target, source, stored(batch, f"batch-{m.name}"))
+
+
+def merge_buckets(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+    """Merge into the buckets that the batch or its source has keys of.
+
+    All rows that a key can change are in its bucket; other buckets are neither
+    read nor written, and a load without news writes nothing.
+    """
+    source, batch = _news(m, tables, read, now, tables.read(m.name))
+    batch = stored(batch, f"batch-{m.name}")
+    changed = batch.select(*m.dealt_by)
+    if m.parent or m.load == "replace_changed":
+        source = stored(source.select(*m.dealt_by).distinct(), f"changed-{m.name}")
+        changed = changed.union(source)
+    touched = [r[0] for r in changed.select(bucket(m.dealt_by)).distinct().collect()]  # at most BUCKETS
+    if not touched:
+        return tables.read(m.name)
+    target = tables.read(m.name, touched)
+    if m.newer:
+        batch = stored(merge.only_newer(batch, target, list(m.keys), m.newer), f"batch-{m.name}")
+        if batch.isEmpty():
+            return tables.read(m.name)
+    merged = _merged(m, target, source, batch)
+    if m.name.startswith("pub_"):
+        merged = assert_contract(merged, target.schema)
+    return tables.replace_parts(m.name, merged, bucket(m.dealt_by), touched)
+
+
 def merge_months(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
     """Merge into the months that the batch has rows of.
 
@@ -176,8 +222,14 @@ def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Col
         return tables.replace_parts(m.name, _call(m, read, now, None), month_of(m.by_month)) if first else merge_months(
             m, tables, read, now
         )
+    if m.dealt_by and not first:
+        return merge_buckets(m, tables, read, now)
+    if m.dealt_by and not (m.history and tables.exists(m.name)):
+        old = tables.parts(m.name) if tables.exists(m.name) else []
+        return tables.replace_parts(m.name, _call(m, read, now, None), bucket(m.dealt_by), old)
     if m.load == "append" and not first:
-        return tables.add(m.name, _news(m, tables, read, now, tables.read(m.name))[1])
+        batch = stored(_news(m, tables, read, now, tables.read(m.name))[1], f"batch-{m.name}")
+        return tables.read(m.name) if batch.isEmpty() else tables.add(m.name, batch)
     df = _call(m, read, now, None) if first or m.load == "table" else next_version(m, tables, read, now)
     if m.after:
         df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
@@ -206,6 +258,7 @@ def run(
     done = in_order(models, wanted)
     for name in done:
         df = refresh(models[name], tables, read, now, full and not models[name].history)
+        tables.prune(name, KEPT_WRITES)
         if check:
             check(name, df, read)
     return done
