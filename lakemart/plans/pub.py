@@ -196,7 +196,9 @@ def pub_dim_hakukohde(
         pohjakoulutuskoodit
         """,
     )
-    return shown.repartitionByRange("haku_oid").sortWithinPartitions("haku_oid")
+    # the second column splits the targets of the one search that holds most
+    shown = shown.withColumn("koulutuksen_alkamisvuosi", F.col("koulutuksen_alkamisvuosi").cast("double"))
+    return shown.repartitionByRange("haku_oid", "hakukohde_oid").sortWithinPartitions("haku_oid")
 
 
 @model()

@@ -205,7 +205,7 @@ TARGETS = """
     f"""
     WITH {TARGETS}
     SELECT '{documents.TARGET}' || p_partkey AS hakukohde_oid, 'K' || kind AS koulutus_oid, season AS koulutuksen_alkamiskausi_koodiuri,
-           CAST(CASE WHEN p_size % 2 = 1 THEN 2025 WHEN season IS NOT NULL THEN 2024 END AS INT) AS koulutuksen_alkamisvuosi,
+           CAST(CASE WHEN p_size % 2 = 1 THEN 2025 WHEN season IS NOT NULL THEN 2024 END AS DOUBLE) AS koulutuksen_alkamisvuosi,
            CAST(CASE kind WHEN 5 THEN 5 WHEN 0 THEN 1 WHEN 1 THEN 1 ELSE 3 END AS INT) AS tutkinnon_taso_sykli,
            '["am","yo"]' AS pohjakoulutuskoodit, '["oppilaitoksenopetuskieli_1","oppilaitoksenopetuskieli_2"]' AS oppilaitoksen_opetuskieli,
            'O' || p_partkey % 100 AS jarjestyspaikka_oid, CAST(p_size AS BIGINT) AS hakukohteen_aloituspaikat,

@@ -3,7 +3,9 @@ the test tables below the shared folder and read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators import aggregates, latest
@@ -205,36 +207,41 @@ def seed_table(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT 'pub_nation' AS name, 1 AS version, count(*) AS rows FROM nation
-    UNION ALL SELECT 'pub_supplier', 1, count(*) FROM supplier
+    SELECT 'pub_nation' AS name, 1 AS version, CAST(n_nationkey AS VARCHAR) AS id, n_name AS label, CAST(n_regionkey AS VARCHAR) AS place FROM nation
+    UNION ALL SELECT 'pub_supplier', 1, CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier
     """
 )
 def export_manifest(t: Source) -> DataFrame:
-    """Export a layer as compressed CSV and count the exported rows."""
+    """Export a layer as compressed CSV and read the parts that its manifest lists."""
     spark, base = t.spark, work_path(t.spark, "export")
     tables = Tables(spark, f"{base}/tables")
     tables.write("pub_nation", t.nation)
     tables.write("pub_supplier", t.supplier)
     tables.write("int_region", t.region)
     export_layers(tables, ["pub_"], f"{base}/out")
-    manifest = spark.read.json(f"{base}/out/pub/manifest.json", multiLine=True)
-    listed = manifest.select(F.explode("tables").alias("e")).select(
-        F.regexp_extract("e.key", "/(.+)\\.csv", 1).alias("name"), F.col("e.version").cast("int").alias("version")
-    )
-    rows = spark.read.option("recursiveFileLookup", True).text(f"{base}/out/pub", pathGlobFilter="*.csv.gz").select(
-        F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)\\.csv\\.gz/[^/]+$", 1).alias("name"),
-        F.col("_metadata.file_path").alias("file"),
-    )
-    per_table = rows.groupBy("name").agg((F.count(F.lit(1)) - F.count_distinct("file")).alias("rows"))
-    return listed.join(per_table, ["name"])
-
-
-@query("SELECT o_orderkey, o_custkey FROM orders")
+    listed = spark.read.json(f"{base}/out/pub/manifest.json", multiLine=True).select(F.explode("tables").alias("e")).select("e.*").collect()
+    shown = {"pub_nation": ("n_nationkey", "n_name", "n_regionkey"), "pub_supplier": ("s_suppkey", "s_name", "s_nationkey")}
+    frames = []
+    for entry in listed:
+        name = entry.key.split("/")[1].removesuffix(".csv.gz")
+        rows = spark.read.csv([f"{base}/out/{entry.key}/{p}" for p in entry.parts], header=True, escape='"')
+        columns = [F.col(c).alias(a) for c, a in zip(shown[name], ("id", "label", "place"))]
+        frames.append(rows.select(F.lit(name).alias("name"), F.lit(entry.version).cast("int").alias("version"), *columns))
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS place FROM orders")
 def sorted_write(t: Source) -> DataFrame:
-    """Clustered by range on write and read back."""
+    """Clustered by range on write and read back; each row with its place in
+    the files, in the order of their names."""
     path = work_path(t.spark, "sorted")
     clustered(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey").write.parquet(path)
-    return t.spark.read.parquet(path)
+    block = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    rows = t.spark.read.parquet(path).select("*", *block, F.monotonically_increasing_id().alias("at"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return rows.join(blocks, ["file", "block"]).select("o_orderkey", "o_custkey", (F.col("at") - F.col("first") + F.col("before") + 1).alias("place"))
 
 
 @query("SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY n_regionkey")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.operators import quality
 from lakemart.queries.registry import Source, query
@@ -37,14 +38,20 @@ def quality_report(t: Source) -> DataFrame:
 
 @query(
     """
-    SELECT 'unique' AS "check", count(*) AS violations FROM (SELECT l_partkey FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1)
-    UNION ALL SELECT 'not_null', 0
+    SELECT 'unique' AS "check", count(*) AS violations FROM (SELECT l_partkey FROM lineitem WHERE l_suppkey % 10 <> 3 GROUP BY l_partkey, l_suppkey HAVING count(*) > 1)
+    UNION ALL SELECT 'not_null', count(*) FROM lineitem WHERE l_suppkey % 10 = 3
     """
 )
 def primary_key_check(t: Source) -> DataFrame:
-    return quality.primary_key_violations(t.lineitem, ["l_partkey", "l_suppkey"])
+    """Keys of line items, some of them made NULL."""
+    supplier = F.when(F.col("l_suppkey") % 10 != 3, F.col("l_suppkey"))
+    return quality.primary_key_violations(t.lineitem.withColumn("l_suppkey", supplier), ["l_partkey", "l_suppkey"])
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT n_nationkey, n_name, n_regionkey, 'n_name, n_regionkey, title' AS refused FROM nation")
 def contract_check(t: Source) -> DataFrame:
-    return quality.assert_contract(t.nation, t.nation.schema)
+    """Rows that keep the contract, and the columns for which a changed table is refused."""
+    contract = T.StructType.fromDDL("n_nationkey int, n_name string, n_regionkey int")
+    kept = quality.assert_contract(t.nation.select("n_regionkey", "n_name", "n_nationkey"), contract)
+    changed = t.nation.select("n_nationkey", F.col("n_name").alias("title"), F.col("n_regionkey").cast("string").alias("n_regionkey"))
+    return kept.withColumn("refused", F.lit(", ".join(quality.contract_differences(changed, contract))))

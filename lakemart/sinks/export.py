@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.sinks.versions import Tables
 
 
-def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """Compressed CSV with a header; parts stay parallel unless one file is
-    asked for."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option(
-        "compression", "gzip"
-    ).option("quoteAll", False).option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str) -> None:
+    """Compressed CSV parts with a header each, to a path that is not there yet."""
+    df.write.mode("errorifexists").option("header", True).option("compression", "gzip").option("quoteAll", False).option(
+        "escape", '"'
+    ).csv(path)
+
+
+def parts_of(spark: SparkSession, path: str) -> list[str]:
+    """Names of the written parts, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(n for n in (s.getPath().getName() for s in found) if n.startswith("part-"))
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -29,17 +36,23 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def export_layers(tables: Tables, layers: list[str], target: str) -> dict[str, dict]:
     """Export every table of the layers, their schemas, and one manifest per
-    layer: ``{schema: {key, version}, tables: [{key, version}]}``."""
+    layer: ``{schema: {key, version}, tables: [{key, version, parts}]}``.
+
+    Each export of a table goes to a folder of its version, whose parts the
+    manifest lists, so an earlier export stays whole until the manifest that
+    names the new one is written.
+    """
     spark = tables.spark
     manifests = {}
     for layer in layers:
         schemas, entries = {}, []
         for name in tables.names(layer):
             df = tables.read(name)
-            key = f"{layer.rstrip('_')}/{name}.csv.gz"
+            version = tables.version(name)
+            key = f"{layer.rstrip('_')}/{name}.csv.gz/v={version}-{uuid.uuid4().hex[:8]}"
             export_csv(df, f"{target}/{key}")
             schemas[name] = df.schema.jsonValue()
-            entries.append({"key": key, "version": tables.version(name)})
+            entries.append({"key": key, "version": version, "parts": parts_of(spark, f"{target}/{key}")})
         schema_key = f"{layer.rstrip('_')}/schema.json"
         write_text(spark, f"{target}/{schema_key}", json.dumps(schemas))
         version = max((e["version"] for e in entries), default=0)

@@ -118,11 +118,14 @@ def test_export_layers(spark, tmp_path):
     tables.write("pub_a", spark.range(2))
     tables.write("int_c", spark.range(2))
     manifests = export_layers(tables, ["pub_", "int_"], str(tmp_path / "out"))
-    assert [t["key"] for t in manifests["pub_"]["tables"]] == ["pub/pub_a.csv.gz", "pub/pub_b.csv.gz"]
+    assert [t["key"].rsplit("/", 1)[0] for t in manifests["pub_"]["tables"]] == ["pub/pub_a.csv.gz", "pub/pub_b.csv.gz"]
     stored = json.loads((tmp_path / "out" / "pub" / "manifest.json").read_text())
     assert stored == manifests["pub_"]
-    back = spark.read.csv(f"{tmp_path}/out/pub/pub_b.csv.gz", header=True, escape='"')
+    entry = stored["tables"][1]
+    back = spark.read.csv([f"{tmp_path}/out/{entry['key']}/{p}" for p in entry["parts"]], header=True, escape='"')
     assert [tuple(r) for r in back.collect()] == [("1", 'say "x", y')]
+    again = export_layers(tables, ["pub_"], str(tmp_path / "out"))["pub_"]["tables"][1]
+    assert again["key"] != entry["key"] and back.count() == 1
 
 
 def test_added_rows_do_not_rewrite_the_table(spark, tmp_path):
