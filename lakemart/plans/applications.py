@@ -470,6 +470,12 @@ ACCEPTED_IN_QUEUE = ("HYVAKSYTTY", "HYVAKSYTTY_VARASIJALTA")
 BY_DISCRETION = "HARKINNANVARAISESTI_HYVAKSYTTY"
 
 
+# states from best to worst (fixed values)
+STATE_ORDER = """
+    HYVAKSYTTY HARKINNANVARAISESTI_HYVAKSYTTY VARASIJALTA_HYVAKSYTTY VARALLA PERUUTETTU PERUNUT PERUUNTUNUT HYLATTY KESKEN
+""".split()
+
+
 @model()
 def int_hakutoive_valintatapajono(
     int_valintarekisteri_valinnantulos: DataFrame, int_valintarekisteri_jonosija: DataFrame,
@@ -495,28 +501,25 @@ def int_hakutoive_valintatapajono(
         "onko_muuttunut_viime_sijoittelussa", F.coalesce("prioriteetti", F.lit(0)).alias("prioriteetti"), "pisteet",
         "siirtynyt_toisesta_valintatapajonosta",
     )
-    return rows.groupBy("hakutoive_id").agg(jsonx.to_array(F.array_sort(F.collect_list(result))).alias("valintatapajonot"))
-
-
-# states from best to worst (fixed values)
-STATE_ORDER = """
-    HYVAKSYTTY HARKINNANVARAISESTI_HYVAKSYTTY VARASIJALTA_HYVAKSYTTY VARALLA PERUUTETTU PERUNUT PERUUNTUNUT HYLATTY KESKEN
-""".split()
+    # the best state and its earliest day come out of the same aggregate as the list
+    rank = F.array_position(F.array(*[F.lit(x) for x in STATE_ORDER]), state)
+    day = F.col("valintatiedon_pvm").cast("date")
+    best = F.min(F.when(rank > 0, F.struct(rank.alias("rank"), day.isNull().alias("undated"), day.alias("day"), state.alias("state"))))
+    flag = F.max(F.coalesce(accepted & F.col("ehdollisesti_hyvaksyttavissa"), F.lit(False)))
+    grouped = rows.groupBy("hakutoive_id").agg(
+        jsonx.to_array(F.array_sort(F.collect_list(result))).alias("valintatapajonot"), best.alias("best"), flag.alias("ehdollisesti_hyvaksytty")
+    )
+    return grouped.select(
+        "hakutoive_id", "valintatapajonot", F.col("best.state").alias("valintatieto"), F.col("best.day").alias("valintatiedon_pvm"),
+        "ehdollisesti_hyvaksytty",
+    )
 
 
 @model()
 def int_valinta(int_hakutoive_valintatapajono: DataFrame) -> DataFrame:
     """Best state over the queues of a choice and the earliest day of it."""
-    results = jsonx.records("valintatapajonot", "valinnan_tila string, valintatiedon_pvm date, ehdollisesti_hyvaksytty boolean")
-    rows = int_hakutoive_valintatapajono.withColumn("r", results)
-    order = F.array(*[F.lit(s) for s in STATE_ORDER])
-    best = F.get(F.filter(order, lambda s: F.exists("r", lambda x: x["valinnan_tila"].eqNullSafe(s))), F.lit(0))
-    rows = rows.withColumn("valintatieto", best)
-    of_best = F.filter("r", lambda x: x["valinnan_tila"] == F.col("valintatieto"))
-    return rows.select(
-        "hakutoive_id", "valintatapajonot", "valintatieto",
-        F.array_min(F.transform(of_best, lambda x: x["valintatiedon_pvm"])).alias("valintatiedon_pvm"),
-        F.exists("r", lambda x: F.coalesce(x["ehdollisesti_hyvaksytty"], F.lit(False))).alias("ehdollisesti_hyvaksytty"),
+    return int_hakutoive_valintatapajono.select(
+        "hakutoive_id", "valintatapajonot", "valintatieto", "valintatiedon_pvm", "ehdollisesti_hyvaksytty"
     )
 
 
