@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators import history, latest, merge, runlog
+from lakemart.plans import housekeeping
+from lakemart.plans.catalog import raw_defaults, run, sources_from
+from lakemart.queries import admission_documents
 from lakemart.queries.registry import Source, query
-from lakemart.session import stored
+from lakemart.session import stored, work_path
+from lakemart.sinks.versions import Tables
 
 EPOCH = "1899-12-31"
 
@@ -280,3 +287,61 @@ def retention(t: Source) -> DataFrame:
         runlog.retain(events, completed, "events", "ts").agg(F.lit("kept whole").alias("kind"), count)
         .unionByName(runlog.retain(events, released, "events", "ts").agg(F.lit("cleaned").alias("kind"), count))
     )
+
+
+@query(
+    """
+    SELECT event_id, event_type FROM events LEFT JOIN
+        (SELECT event_type, max(ts) AS begun FROM events WHERE user_id % 3 = 0 AND event_type <> 'view' GROUP BY 1) USING (event_type)
+    WHERE begun IS NULL OR ts > begun
+    """
+)
+def load_since_watermark(t: Source) -> DataFrame:
+    """What each table's next load reads: rows past the start of its last
+    completed load, all rows of a table that was never loaded."""
+    events = t.events
+    begun = events.filter("user_id % 3 = 0 AND event_type <> 'view'").groupBy("event_type").agg(F.max("ts").alias("m"))
+    kinds = {r.event_type: None for r in events.select("event_type").distinct().collect()}
+    kinds |= {r.event_type: r.m for r in begun.withColumn("m", F.col("m").cast("timestamp")).collect()}
+    runs, completed = runlog.empty_runs(t.spark), runlog.empty_completed(t.spark)
+    for kind, at in kinds.items():
+        if at is not None:
+            runs = runlog.start(runs, [f"stg_{kind}"], F.lit(at).cast("timestamp"))
+    completed = stored(runlog.complete(completed, runs, [f"stg_{k}" for k, at in kinds.items() if at is not None]), "completed")
+    beginning = datetime(1899, 12, 31)
+    loads = [
+        merge.above(events.filter(F.col("event_type") == kind), "ts", runlog.watermark(completed, kind, beginning)) for kind in sorted(kinds)
+    ]
+    return reduce(DataFrame.unionByName, loads).select("event_id", "event_type")
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    WHERE (l_partkey, l_suppkey) IN (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'N')
+    """
+)
+def orphan_removal(t: Source) -> DataFrame:
+    """Results stay whose queue (supplier) the criteria of the target (part) list."""
+    queue = F.struct(F.col("l_suppkey").cast("string").alias("oid"))
+    listed = t.lineitem.filter("l_returnflag <> 'N'").groupBy("l_partkey").agg(F.collect_set(queue).alias("valintatapajono"))
+    phases = F.to_json(F.array(F.struct("valintatapajono")))
+    criteria = listed.select(F.col("l_partkey").alias("hakukohde_oid"), phases.alias("valinnanvaiheet"))
+    results = t.lineitem.withColumns({"hakukohde_oid": F.col("l_partkey"), "valintatapajono_oid": F.col("l_suppkey").cast("string")})
+    return housekeeping.without_orphans(results, criteria).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(
+    """
+    SELECT 'stg_ataru_hakemus' AS model, count(*) AS rows FROM orders
+    UNION ALL SELECT 'int_ataru_hakemus', count(*) FROM orders UNION ALL SELECT 'stg_ataru_lomake', 0 UNION ALL SELECT 'int_sijoitteluajo', 0
+    """
+)
+def bootstrap_sources(t: Source) -> DataFrame:
+    """A first run where only one source has files: the others are empty tables."""
+    tables = Tables(t.spark, work_path(t.spark, "bootstrap"))
+    names = ["stg_ataru_hakemus", "int_ataru_hakemus", "stg_ataru_lomake", "int_sijoitteluajo"]
+    given = {"ataru_hakemus": stored(admission_documents.applications(t), "applications")}
+    run(tables, sources_from(t.spark, given, raw_defaults), datetime(2024, 1, 2, 12), names)
+    counts = [tables.read(n).agg(F.lit(n).alias("model"), F.count(F.lit(1)).alias("rows")) for n in names]
+    return reduce(DataFrame.unionByName, counts)
