@@ -74,8 +74,8 @@ def blocks(aligned: list[tuple[int, int]], words: dict[int, int], least: int = B
 def _lines(docs: DataFrame) -> DataFrame:
     """(line, doc, at, words): every line but blank ones; `line` tells a text and its count in the document."""
     text = F.translate(F.col("value"), "\t\r", "  ")
-    rows = docs.select("_row", F.posexplode(F.split("text", "\n")).alias("at", "value")).select(
-        F.col("_row").alias("doc"), "at", F.trim(F.regexp_replace(text, " +", " ")).alias("value")
+    rows = docs.select("_line_row", F.posexplode(F.split("text", "\n")).alias("at", "value")).select(
+        F.col("_line_row").alias("doc"), "at", F.trim(F.regexp_replace(text, " +", " ")).alias("value")
     ).filter("value <> ''")
     rows = rows.select("doc", "at", F.xxhash64("value", F.length("value")).alias("hash"), (F.size(F.split("value", " "))).alias("words"))
     again = F.row_number().over(Window.partitionBy("doc", "hash").orderBy("at"))
@@ -84,10 +84,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def find_blocks(docs: DataFrame, rare_documents: int = RARE_DOCUMENTS, long_words: int = LONG_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc, lines): the numbers of the lines to delete from each document, in
-    order of `_row`, a distinct number of each row of `docs`."""
+    order of `_line_row`, a distinct number of each row of `docs`."""
     lines = stored(_lines(docs), "lines")
     first = lines.groupBy("line").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
     first = first.select("line", F.col("first.doc").alias("owner"), F.col("first.at").alias("owner_at"), "held")
+    # stored, so that both sides of the join are plain and a frequent line is split over tasks
+    first = stored(first, "first")
     rare = (F.col("held") <= rare_documents) | (F.col("words") >= long_words)
     matches = lines.join(first, "line").filter("doc <> owner").select("owner", "doc", "at", "owner_at", "words", rare.alias("rare"))
     pairs = matches.groupBy("owner", "doc").agg(F.max("rare").alias("rare"), F.collect_list(F.struct("at", "owner_at", "words")).alias("matches"))
@@ -121,15 +123,15 @@ def remove_lines(docs: DataFrame, keep: list[str] | None = None, **limits: int)
     decisions are made on the texts as given, and the first holder of a line
     always keeps it.  Adds n_lines and n_removed; a column of that name is replaced.
     """
-    names = ("n_lines", "n_removed", "_row", "lines")
+    names = ("n_lines", "n_removed")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     rows = docs.select(*kept, *[c for c in ("doc_id", "text") if c not in kept])
     numbered = _numbered(rows)
-    found = find_blocks(numbered.filter("_row IS NOT NULL").select("_row", "text"), **limits)
-    joined = numbered.join(found.withColumnRenamed("doc", "_row"), "_row", "left")
+    found = find_blocks(numbered.filter("_line_row IS NOT NULL").select("_line_row", "text"), **limits)
+    joined = numbered.join(found.select(F.col("doc").alias("_line_row"), F.col("lines").alias("_line_cut")), "_line_row", "left")
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts, lines = batch.column("text").to_pylist(), batch.column("lines").to_pylist()
+        texts, lines = batch.column("text").to_pylist(), batch.column("_line_cut").to_pylist()
         return {
             "text": [_cut(t, n) for t, n in zip(texts, lines)],
             "n_lines": [len(t.split("\n")) if t else 0 for t in texts],
@@ -141,14 +143,14 @@ def remove_lines(docs: DataFrame, keep: list[str] | None = None, **limits: int)
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """`rows` with a distinct number `_row` that rises with doc_id.
+    """`rows` with a distinct number `_line_row` that rises with doc_id.
 
     Ids that do not repeat are their own numbers.  Only if some do, all rows are
     numbered anew, in order within and across range partitions.
     """
     repeated = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeated.limit(1).count():
-        return rows.withColumn("_row", F.col("doc_id").cast("long"))
+        return rows.withColumn("_line_row", F.col("doc_id").cast("long"))
     known = rows.filter("doc_id IS NOT NULL").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    numbered = stored(known.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    return numbered.unionByName(rows.filter("doc_id IS NULL").withColumn("_row", F.lit(None).cast("long")))
+    numbered = stored(known.withColumn("_line_row", F.monotonically_increasing_id()), "numbered")
+    return numbered.unionByName(rows.filter("doc_id IS NULL").withColumn("_line_row", F.lit(None).cast("long")))
