@@ -27,8 +27,8 @@ TREES = 30
 #: Signature positions that make a region, and further ones where it is crowded.
 DEPTH, DEEPER = 4, (6, 9, 13, 18)
 CROWDED = 24
-#: Members of a crowded part that unjoined documents are compared with.
-LEADERS = 10
+#: Members of a part of over 3 * CROWDED that unjoined documents are compared with.
+LEADERS = 4
 
 _U = np.uint64
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -109,63 +109,66 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth: int
 
 
 def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(region, node, near, size): every region of two or more, and the neighbour
-    with the next longest common prefix in its sorted order."""
-    rows = placed.select("node", F.arrays_zip("regions", "tails").alias("at")).select("node", F.explode("at").alias("at")).select(
-        "node", F.col("at.regions").alias("region"), F.col("at.tails").alias("tail")
+    """The places (node, n, size, part) in every region of two or more and in the
+    parts of crowded ones; and pairs of neighbours in a sorted order."""
+    rows = placed.select("node", "n", F.explode(F.arrays_zip("regions", "tails")).alias("at")).select(
+        "node", "n", F.col("at.regions").alias("region"), F.col("at.tails").alias("tail")
     )
     every = Window.partitionBy("region")
     order = every.orderBy("tail", "node")
-    rows = rows.withColumn("size", F.count(F.lit(1)).over(every)).filter("size > 1").withColumn("near", F.lead("node").over(order))
-    rows = stored(rows.withColumn("near_tail", F.lead("tail").over(order)), "regions")
-    # a crowded region is cut at each deeper position; parts of one are dropped below
+    rows = rows.withColumn("size", F.count(F.lit(1)).over(every)).filter("size > 1")
+    rows = rows.withColumns({f"near_{c}": F.lead(c).over(order) for c in ("node", "n", "tail")})
+    rows = stored(rows, "regions")
+    # a crowded region is cut at each deeper position
     cuts = [F.struct(F.lit(0).alias("cut"), F.col("region").alias("part"))]
     for k in range(len(DEEPER)):
         part = F.shiftrightunsigned("tail", 16 * (len(DEEPER) - 1 - k))
         cuts.append(F.when(F.col("size") > CROWDED, F.struct(F.lit(k + 1).alias("cut"), F.xxhash64("region", F.lit(k), part).alias("part"))))
-    deep = rows.select("node", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select("node", "size", "c.cut", "c.part")
+    deep = rows.select("node", "n", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select("node", "n", "size", "c.part")
     close = (F.col("size") <= CROWDED) | (F.shiftrightunsigned("tail", 48) == F.shiftrightunsigned("near_tail", 48))
-    return deep, rows.filter(F.col("near").isNotNull() & close).select(F.col("node").alias("a"), F.col("near").alias("b"))
+    near = rows.filter(F.col("near_node").isNotNull() & close)
+    return deep, near.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("near_node").alias("b"), F.col("near_n").alias("nb"))
 
 
-def _candidates(deep: DataFrame, near: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, to be confirmed; about as many as places in
-    regions, whatever the size of a region."""
+def _fitting(pairs: DataFrame, least: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of (a, na, b, nb) whose sizes allow a link."""
+    fitting = (F.col("a") != F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * least)
+    return pairs.filter(fitting).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _candidates(deep: DataFrame, near: DataFrame, least: int) -> DataFrame:
+    """Pairs to be confirmed; about as many as places in regions, whatever the
+    size of a region."""
     met = deep.groupBy("node").agg(F.sum("size").alias("met"))
     hubs = deep.join(met, "node").groupBy("part").agg(
-        F.max(F.struct("met", (-F.col("node")).alias("lower"))).alias("hub"), F.count(F.lit(1)).alias("n")
+        F.max(F.struct("met", (-F.col("node")).alias("lower"), "n")).alias("hub"), F.count(F.lit(1)).alias("places")
     )
-    hubs = hubs.filter("n > 1").select("part", (-F.col("hub.lower")).alias("a"))
-    pairs = deep.join(hubs, "part").select("a", F.col("node").alias("b")).unionByName(near).filter("a <> b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    hubs = hubs.filter("places > 1").select("part", (-F.col("hub.lower")).alias("a"), F.col("hub.n").alias("na"))
+    pairs = deep.join(hubs, "part").select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb"))
+    return stored(_fitting(pairs.unionByName(near), least), "pairs")
 
 
-def _unjoined(deep: DataFrame, labels: DataFrame) -> DataFrame:
+def _unjoined(deep: DataFrame, labels: DataFrame, tried: DataFrame, least: int) -> DataFrame:
     """Pairs of one part that no link has joined yet: each document with those
     members that meet most others, which in an uncrowded part are all of them.
     A part that links have made one component gives none."""
     met = deep.groupBy("node").agg(F.sum("size").alias("met"))
-    placed = deep.select("part", "node").join(met, "node").join(labels, "node", "left").select(
-        "part", "node", "met", F.coalesce("label", "node").alias("label")
+    placed = deep.select("part", "node", "n").join(met, "node").join(labels, "node", "left").select(
+        "part", "node", "n", "met", F.coalesce("label", "node").alias("label")
     )
-    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.filter("low < high").select("part", "n")
-    a = placed.join(mixed, "part")
+    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("places"))
+    mixed = mixed.filter("low < high").select("part", "places")
+    every = placed.join(mixed, "part")
     first = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("met"), "node"))
-    several = F.col("n") <= CROWDED
-    b = a.withColumn("place", first).filter((F.col("place") <= LEADERS) | several & (F.col("place") <= CROWDED))
-    b = b.select("part", F.col("node").alias("b"), F.col("label").alias("other"))
-    pairs = a.join(b, "part").filter("label <> other")
-    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    leaders = F.when(F.col("places") <= 3 * CROWDED, CROWDED).otherwise(LEADERS)
+    led = every.withColumn("at", first).filter(F.col("at") <= leaders)
+    led = led.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"))
+    pairs = every.join(led, "part").filter("label <> other").select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
+    return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    n = F.octet_length("shingles").alias
-    a = sets.select(F.col("doc_id").alias("a"), n("na"))
-    b = sets.select(F.col("doc_id").alias("b"), n("nb"))
-    fitting = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * least
-    pairs = stored(pairs.join(a, "a").join(b, "b").filter(fitting).select("a", "b").distinct(), "pairs")
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -189,18 +192,34 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the least label among the neighbours and then the label of
     that label, so a chain of n links needs about log n rounds.
     """
-    edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels")
+    there = links.select(F.col("a").alias("node"), F.col("b").alias("peer"))
+    back = links.select(F.col("b").alias("node"), F.col("a").alias("peer"))
+    edges = stored(there.unionByName(back), "edges")
+    labels = stored(edges.groupBy("node").agg(F.min(F.least("node", "peer")).alias("label")), "labels")
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("least"))
+        of_peer = labels.select(F.col("node").alias("peer"), "label")
+        near = edges.join(of_peer, "peer").groupBy("node").agg(F.min("label").alias("least"))
         taken = labels.join(near, "node").select("node", "label", F.least("label", "least").alias("to"))
         jump = labels.select(F.col("node").alias("to"), F.col("label").alias("beyond"))
-        step = stored(taken.join(jump, "to").select("node", F.least("to", "beyond").alias("label"), (F.least("to", "beyond") != F.col("label")).alias("moved")), "labels")
+        step = taken.join(jump, "to").select("node", F.least("to", "beyond").alias("label"), (F.least("to", "beyond") != F.col("label")).alias("moved"))
+        step = stored(step, "labels")
         labels = step.select("node", "label")
         if not step.filter("moved").limit(1).count():
             return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links, which join whole components."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    ends = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    ends = ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b")
+    top = components(ends).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    known = labels.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+    alone = top.select(F.col("label").alias("node"), F.col("top").alias("label")).join(labels.select("node"), "node", "left_anti")
+    return known.unionByName(alone)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id and kept.
 
@@ -215,7 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     key = ["set_a", "set_b", "n_shingles"]
     classes = stored(signed_docs.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("node")), "classes")
     placed = signed_docs.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *key], "left_semi").select(
-        F.col("doc_id").alias("node"), "regions", "tails"
+        F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "regions", "tails"
     )
     deep, near = _regions(placed)
     deep = stored(deep, "deep")
@@ -226,9 +245,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     met = deep.select(F.col("node").alias("doc_id")).distinct()
     sets = per_batch(docs.select("doc_id", "text").join(met, "doc_id", "left_semi"), full, "shingles binary", ["doc_id"])
     sets = stored(sets.dropDuplicates(["doc_id", "shingles"]), "sets")
-    links = _confirm(_candidates(deep, near), sets, least)
-    further = _confirm(_unjoined(deep, components(links)), sets, least)
-    labels = components(links.unionByName(further))
+    pairs = _candidates(deep, near, least)
+    links = _confirm(pairs, sets, least)
+    labels = components(links)
+    labels = _merged(labels, _confirm(_unjoined(deep, labels, pairs, least), sets, least))
     named = classes.join(labels, "node", "left").select(*key, F.coalesce("label", "node").alias("label"))
     found = signed_docs.select("doc_id", *key).join(named, key, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
