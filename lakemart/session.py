@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def build_session(app: str = "lakemart", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a single-machine session may fall back to a temporary folder.
+    Only a session of one process may fall back to a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -48,7 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="lakemart-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -56,8 +57,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/lakemart/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder.  All of an application's paths share
+    one folder, which can be removed when the application has ended."""
+    return f"{shared_folder(spark)}/lakemart/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
