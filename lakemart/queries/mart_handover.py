@@ -200,3 +200,71 @@ def mart_code_dimensions(t: Source) -> DataFrame:
     for frame in rest:
         first = first.unionByName(frame)
     return first
+
+
+@query(
+    """
+    WITH s AS (SELECT DISTINCT left(o_orderpriority, 1) AS nr FROM orders)
+    SELECT 'H' || nr AS haku_oid, 'PH_OPVP' AS avain, '{"date":1720796400000}' AS alkuperainen_arvo, TIMESTAMP '2024-07-12 15:00:00' AS aikaleima FROM s
+    UNION ALL SELECT 'H' || nr, 'PH_HPVOA', '{"value":14}', NULL FROM s
+    UNION ALL SELECT 'H' || nr, 'jarjestetytHakutoiveet', CASE WHEN nr = '5' THEN 'false' ELSE 'true' END, NULL FROM s
+    """
+)
+def mart_handover_parameters(t: Source) -> DataFrame:
+    (rows,) = marts(t, "gen_ohjausparametri_haku")
+    return rows.select("haku_oid", "avain", "alkuperainen_arvo", F.col("aikaleima").cast("timestamp_ntz").alias("aikaleima"))
+
+
+@query(
+    f"""
+    WITH {PERSON}
+    SELECT 'P' || ck AS oppija_oid, 'P' || master AS master_oid, o.c_name AS etunimet, o.c_mktsegment AS sukunimi,
+           CAST(ck % 2 + 1 AS VARCHAR) AS sukupuoli, CAST(o.c_nationkey AS VARCHAR) AS kotikunta, n_name AS kotikunta_fi
+    FROM person JOIN customer o ON o.c_custkey = ck JOIN nation ON n_nationkey = o.c_nationkey
+    """
+)
+def mart_published_learners(t: Source) -> DataFrame:
+    (rows,) = marts(t, "pub_dim_oppija_henkilo")
+    return rows.select("oppija_oid", "master_oid", "etunimet", "sukunimi", F.col("sukupuoli").cast("string").alias("sukupuoli"), "kotikunta", "kotikunta_fi")
+
+
+@query(
+    """
+    WITH tree AS (SELECT s_suppkey AS k, s_name AS name, CASE WHEN s_suppkey > 0 THEN s_suppkey // 10 END AS up FROM supplier)
+    SELECT 'O' || p.k AS provider, p.name AS provider_name, 'O' || c.k AS institution, c.name AS institution_name
+    FROM tree p JOIN tree c ON c.up = p.k WHERE p.k = 0
+    """
+)
+def mart_published_providers(t: Source) -> DataFrame:
+    """Providers with their institutions, out of the nested documents."""
+    (rows,) = marts(t, "pub_dim_koulutustoimija_ja_toimipisteet")
+    child = F.from_json("children", "array<struct<organisaatio_oid:string,organisaatio_nimi:struct<fi:string>>>")
+    return rows.withColumn("c", F.explode(child)).select(
+        F.col("organisaatio_oid").alias("provider"), F.get_json_object("organisaatio_nimi", "$.fi").alias("provider_name"),
+        F.col("c.organisaatio_oid").alias("institution"), F.col("c.organisaatio_nimi.fi").alias("institution_name"),
+    )
+
+
+@query(
+    f"""
+    SELECT 'group' AS kind, 'R' || nr AS id, 'group ' || nr AS value FROM (SELECT DISTINCT p_partkey // {documents.GROUP_SIZE} AS nr FROM part)
+    UNION ALL SELECT 'field', 'koulutus_' || {EDUCATION}, CAST(kind % 3 AS VARCHAR) FROM {KINDS}
+    UNION ALL SELECT 'country', 'maatjavaltiot2_' || c, 'country ' || c FROM (VALUES ('246'), ('752'), ('840')) AS x(c)
+    UNION ALL SELECT 'union', 'maatjavaltiot2_752', 'EU' FROM region WHERE r_regionkey = 0
+    """
+)
+def mart_published_groups(t: Source) -> DataFrame:
+    """Groups of targets, fields of education, countries and their unions."""
+    groups, fields, countries, unions = marts(
+        t, "pub_dim_hakukohderyhma", "pub_dim_koodisto_koulutus_alat_ja_asteet", "pub_dim_koodisto_maa_2", "pub_dim_koodisto_maa_valtioryhma"
+    )
+
+    def shown(df: DataFrame, kind: str, key: str, value) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), value.cast("string").alias("value"))
+
+    return (
+        shown(groups, "group", "hakukohderyhma_oid", F.get_json_object("hakukohderyhma_nimi", "$.fi"))
+        .unionByName(shown(fields, "field", "koodiuri", F.col("kansallinenkoulutusluokitus2016koulutusalataso1")))
+        .unionByName(shown(countries, "country", "koodiuri", F.col("nimi_fi")))
+        .unionByName(shown(unions, "union", "maa_koodiuri", F.col("valtioryhma_koodiarvo")))
+    )
