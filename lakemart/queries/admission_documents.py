@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.plans.catalog import raw_defaults
+from lakemart.plans.int1 import DETAIL_IS_CODE
 from lakemart.queries.registry import Source
 from lakemart.session import work_path
 
@@ -405,6 +406,51 @@ def forms(t: Source) -> DataFrame:
     return raw(t.region.filter("r_regionkey = 0"), document, "ataru_lomake")
 
 
+def millis(value: Column) -> Column:
+    return F.unix_millis(value.cast("timestamp"))
+
+
+def achievements(t: Source) -> DataFrame:
+    """One examination per order; finished ones have an earlier, open version."""
+    def version(orders: DataFrame, state, changed: Column) -> DataFrame:
+        document = obj(
+            resourceId=text("S", "o_orderkey"), komo="yotutkinto", myontaja=text("O", F.col("o_custkey") % 100), tila=state,
+            valmistuminen=F.date_format("o_orderdate", "yyyy-MM-dd"), henkiloOid=text("P", "o_custkey"), suoritusKieli="FI",
+            inserted=millis(changed), deleted=F.col("o_orderpriority").startswith("5"), source="register", vahvistettu=F.lit(True),
+        )
+        return raw(orders, document, "sure_suoritus")
+
+    day = F.col("o_orderdate").cast("timestamp")
+    current = version(t.orders, F.when(F.col("o_orderstatus") == "F", "VALMIS").otherwise("KESKEN"), day + F.expr("INTERVAL 2 DAY"))
+    return current.unionByName(version(t.orders.filter("o_orderstatus = 'F'"), "KESKEN", day))
+
+
+GRADES = ("I", "A", "B", "C", "M", "E", "L")
+
+
+def grades(t: Source) -> DataFrame:
+    """A grade per order and part; the subject is the part's number of ten."""
+    rows = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
+        F.min(F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")).alias("l")
+    ).select("l_orderkey", "l_partkey", "l.*")
+    document = obj(
+        resourceId=F.concat(text("G", "l_orderkey"), text("-", "l_partkey")), suoritus=text("S", "l_orderkey"),
+        arvosana=F.get(F.array(*[F.lit(g) for g in GRADES]), (F.col("l_suppkey") % 7).cast("int")),
+        asteikko=F.when(F.col("l_returnflag") == "N", "4-10").otherwise("YO"),
+        aine=F.when(F.col("l_suppkey") % 4 == 0, "unknown exam").otherwise(DETAIL_IS_CODE), lisatieto=text("K", F.col("l_partkey") % 10),
+        valinnainen=F.lit(False), inserted=F.lit(1704067200000) + F.col("l_linenumber") * 1000, deleted=F.col("l_linestatus") == "F", source="register",
+    )
+    return raw(rows, document, "sure_arvosana")
+
+
+def study_rights(t: Source) -> DataFrame:
+    document = obj(
+        resourceId=text("E", "c_custkey"), alkuPaiva=F.lit(1704067200000), henkiloOid=text("P", "c_custkey"), komo=F.col("c_mktsegment"),
+        myontaja=text("O", F.col("c_custkey") % 10), source="register", inserted=F.lit(1704067200000), deleted=F.col("c_acctbal") < 0,
+    )
+    return raw(t.customer, document, "sure_opiskeluoikeus")
+
+
 # raw table -> function that derives it
 SOURCES = {
     "ataru_hakemus": lambda t: first_versions(t).unionByName(applications(t)),
@@ -427,6 +473,9 @@ SOURCES = {
     "valintarekisteri_ilmoittautuminen": enrolments,
     "valintarekisteri_hyvaksyttyjulkaistuhakutoive": publications,
     "sure_ensikertalainen": first_timers,
+    "sure_suoritus": achievements,
+    "sure_arvosana": grades,
+    "sure_opiskeluoikeus": study_rights,
 }
 
 

@@ -268,3 +268,59 @@ def mart_published_groups(t: Source) -> DataFrame:
         .unionByName(shown(countries, "country", "koodiuri", F.col("nimi_fi")))
         .unionByName(shown(unions, "union", "maa_koodiuri", F.col("valtioryhma_koodiarvo")))
     )
+
+
+@query(
+    """
+    SELECT 'S' || o_orderkey AS resourceid, 'O' || o_custkey % 100 AS myontaja, CASE WHEN o_orderstatus = 'F' THEN 'VALMIS' ELSE 'KESKEN' END AS tila,
+           strftime(o_orderdate, '%Y-%m-%d') AS paiva, 'P' || o_custkey AS henkilo_oid, o_orderpriority LIKE '5%' AS poistettu, true AS vahvistettu
+    FROM orders
+    """
+)
+def mart_achievements(t: Source) -> DataFrame:
+    """Newest versions of examinations."""
+    (rows,) = marts(t, "int_sure_suoritus")
+    return rows.select(
+        "resourceid", "myontaja", "tila", F.date_format("valmistuminen", "yyyy-MM-dd").alias("paiva"), "henkilo_oid", "poistettu", "vahvistettu"
+    )
+
+
+GRADE = f"""
+    grade AS (SELECT 'G' || ok || '-' || pk AS resourceid, ok, ck, ln, st, [{", ".join(f"'{g}'" for g in documents.GRADES)}][sk % 7 + 1] AS arvosana,
+                     CASE WHEN flag = 'N' THEN '4-10' ELSE 'YO' END AS asteikko, CASE WHEN sk % 4 = 0 THEN 'XXX' ELSE 'K' || pk % 10 END AS yo_aine,
+                     o_orderpriority
+              FROM result WHERE st <> 'F')
+"""
+
+
+@query(f"WITH {CHOICES}, {GRADE} SELECT resourceid, 'S' || ok AS suoritus, arvosana, asteikko, yo_aine FROM grade")
+def mart_grades(t: Source) -> DataFrame:
+    """Grades that are not deleted, with the code of their subject."""
+    (rows,) = marts(t, "int_sure_arvosana")
+    return rows.select("resourceid", "suoritus", "arvosana", "asteikko", "yo_aine")
+
+
+@query(
+    f"""
+    WITH {CHOICES}, {GRADE},
+    last AS (SELECT ok, ck, yo_aine, arg_max(arvosana, (ln, resourceid)) AS arvosana FROM grade
+             WHERE asteikko = 'YO' AND o_orderpriority NOT LIKE '5%' GROUP BY 1, 2, 3)
+    SELECT DISTINCT 'P' || ck AS henkilo_oid, yo_aine, arvosana FROM last
+    """
+)
+def mart_matriculation(t: Source) -> DataFrame:
+    """Last matriculation grade of each subject of an examination, as rows."""
+    (rows,) = marts(t, "int_arvosana_yo")
+    grades = F.explode(F.from_json("arvosanat", "map<string,string>"))
+    return rows.select("henkilo_oid", grades.alias("yo_aine", "arvosana")).distinct()
+
+
+@query(
+    """
+    SELECT 'E' || c_custkey AS resourceid, 'P' || c_custkey AS henkilooid, c_mktsegment AS komo, 'O' || c_custkey % 10 AS myontaja, c_acctbal < 0 AS poistettu
+    FROM customer
+    """
+)
+def mart_study_rights(t: Source) -> DataFrame:
+    (rows,) = marts(t, "int_sure_opiskeluoikeus")
+    return rows.select("resourceid", "henkilooid", "komo", "myontaja", "poistettu")
