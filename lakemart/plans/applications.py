@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import jsonx, seasons, text
 from lakemart.functions.keys import surrogate_key
-from lakemart.operators import aggregates, joins, latest, merge
+from lakemart.operators import aggregates, joins, latest
 from lakemart.plans.dw import current
 from lakemart.plans.int1 import HIGHER_BASE_EDUCATION, choice_key
 from lakemart.plans.model import Since, model

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from lakemart.operators import history, latest
 from lakemart.operators.history import FIRST_SEEN

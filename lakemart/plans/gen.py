@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import jsonx, times
 from lakemart.functions.keys import surrogate_key
-from lakemart.operators import joins
 from lakemart.plans.codes import versioned
 from lakemart.plans.model import Since, add, model
 from lakemart.sources.shred import LANGUAGES
