@@ -59,6 +59,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(prepare(spark), folder, name)
 
 
+_resident: dict[object, object] = {}
+
+
+def resident(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one object at a time, so the
+    caches of one operator do not stay beside the work of the next."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def release() -> None:
+    """Let go what the worker has kept for another operator."""
+    if _resident:
+        _resident.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Iterable]], added: str, keep: list[str] | None = None) -> DataFrame:
     """Add columns that a function computes from each Arrow batch.
 
@@ -72,6 +92,7 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Iterable]]
     arrow = to_arrow_schema(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)
@@ -86,27 +107,28 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
-def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_cell: int = 10_000, rows: int | None = None) -> DataFrame:
+def gapless(df: DataFrame, by: list[str], order: list[str], name: str, rows_per_cell: int = 2_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps.
 
-    A group may hold any share of the table: its rows are dealt over cells by a
-    hash, each cell is numbered by itself, and the sizes of the cells before it
-    are added.  Only the small table of cell sizes is sorted by group.  `df` is
-    read twice, so it should be a stored table.
+    A group may hold any share of the table: its rows are dealt by a hash over as
+    many cells as its size asks for, each cell is numbered by itself, and the
+    sizes of the cells before it are added.  Only the table of cell sizes, which
+    has about one row for `rows_per_cell` rows, is sorted by group.  `df` is read
+    several times, so it should be a stored table.
     """
-    cells = max(1, -(-(df.count() if rows is None else rows) // rows_per_cell))
-    dealt = df.withColumn("_cell", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(cells)))
-    before = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_cell").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    keys = [f"_{c}" for c in by]
+    named = [F.col(c).alias(k) for c, k in zip(by, keys)]
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]
+    cells = F.ceil(F.count(F.lit(1)) / rows_per_cell).alias("_cells")
+    wanted = stored(df.groupBy(*named).agg(cells), "cells")
+    dealt = df.join(wanted, same).withColumn("_cell", F.pmod(F.xxhash64(*order), F.col("_cells"))).drop("_cells")
+    before = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys, F.col("_cell").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     place = Window.partitionBy(*by, "_cell").orderBy(*order)
-    numbered = dealt.withColumn("_row", F.row_number().over(place) - 1)
-    same = (F.col("_cell") == F.col("_at")) if not by else None
-    for c in by:
-        match = F.col(c).eqNullSafe(F.col(f"_{c}"))
-        same = match if same is None else same & match
-    same = same & (F.col("_cell") == F.col("_at"))
-    return numbered.join(starts, same).withColumn(name, (F.col("_start") + F.col("_row")).cast("long")).drop("_cell", "_at", "_start", "_row", *[f"_{c}" for c in by])
+    numbered = dealt.drop(*keys).withColumn("_row", F.row_number().over(place) - 1)
+    joined = numbered.join(starts, [F.col("_cell") == F.col("_at"), *same])
+    return joined.withColumn(name, (F.col("_start") + F.col("_row")).cast("long")).drop("_cell", "_at", "_start", "_row", *keys)
 
 
-__all__ = ["BATCH_ROWS", "gapless", "per_batch", "prepare", "ship", "stored", "table", "texts"]
+__all__ = ["BATCH_ROWS", "gapless", "per_batch", "prepare", "release", "resident", "ship", "stored", "table", "texts"]

@@ -9,39 +9,50 @@ goes, and each piece finds its place by its number among those of its length.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import gapless, stored
+from lakemart.llm.common import gapless, resident, stored
 
 CAPACITY = 4096
 END_OF_TEXT = 1
-#: Encoded strings that a worker remembers.
-REMEMBERED = 1_000_000
+#: Encoded strings that a worker remembers, texts that it takes apart at once, and
+#: strings that it encodes at once.
+REMEMBERED, TOGETHER, WORDS_TOGETHER = 600_000, 100, 2_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# strings of plain letters; signs (no apostrophe) behind a plain letter or a digit;
+# and a single stop or comma between a plain letter or digit and white space
+_PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+_SIGNS = re.compile(r"(.*[a-zA-ZÀ-ÖØ-öø-ÿ0-9])([!-&(-/:-@\[-`{-~]+)", re.S)
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \t-\r]|\Z)")
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit numbers.
 
-    The vocabulary drops white space and never joins what white space parts, so a
-    text is encoded string by string and each distinct string only once.
+    The vocabulary drops white space and case and never joins what white space or
+    a change from letters to signs parts, so a text is encoded string by string
+    and each distinct string only once.
     """
 
     def __init__(self, path: str):
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.stops = dict(zip(".,", self._encode([".", ","])))
+        self.known: dict[bytes, bytes] = {}
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
@@ -49,43 +60,50 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _encode_words(self, strings: list[str]) -> list[bytes]:
-        """As `_encode`; strings of plain letters are one word each, so all of
-        them are encoded at once and parted after each token that ends a word."""
-        plain = [s for s in strings if s.isascii() and s.isalpha()]
-        ids = np.frombuffer(self._encode([" ".join(plain)])[0], "<u4")
-        ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
-        if len(ends) != len(plain):
-            return self._encode(strings)
-        raw = ids.tobytes()
-        found = dict(zip(plain, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
-        others = [s for s in strings if s not in found]
-        found.update(zip(others, self._encode(others)))
-        return [found[s] for s in strings]
+    def _encode_words(self, strings: list[str]) -> dict[str, bytes]:
+        """Ids of each string; strings of plain letters are one word each, so all
+        of them are encoded at once and parted after each token that ends a word."""
+        found: dict[str, bytes] = {}
+        plain = [s for s in strings if _PLAIN.fullmatch(s)]
+        others = [s for s in strings if not _PLAIN.fullmatch(s)]
+        for at in range(0, len(plain), WORDS_TOGETHER):
+            part = plain[at : at + WORDS_TOGETHER]
+            ids = np.frombuffer(self._encode([" ".join(part)])[0], "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                found.update(zip(part, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
+            else:
+                others += part
+        for at in range(0, len(others), WORDS_TOGETHER):
+            part = others[at : at + WORDS_TOGETHER]
+            found.update(zip(part, self._encode(part)))
+        return found
+
+    def _learn(self, new: set[bytes]) -> None:
+        known, cuts = self.known, {}
+        for s in new:
+            text = s.decode()
+            cut = None if "<|" in text else _SIGNS.fullmatch(text)
+            cuts[s] = cut.groups() if cut else (text, "")
+        found = self._encode_words(list({t for pair in cuts.values() for t in pair if t}))
+        found[""] = b""
+        for s, (stem, signs) in cuts.items():
+            known[s] = found[stem] + found[signs]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        # these are white space to str.split, but not to the tokenizer
-        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        parts = [[] if o else t.split() for t, o in zip(texts, odd)]
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = {s for p in parts for s in p if s not in known}
-        # a closing stop is a token of its own after a plain letter, and case is dropped
-        stem = {s: (s[:-1] if len(s) > 1 and s[-1] in ".," and s[-2].isascii() and s[-2].isalpha() else s) for s in new}
-        stem = {s: t.lower() if t.isascii() and "<" not in t else t for s, t in stem.items()}
-        unseen = list({t for t in stem.values() if t not in known})
-        known.update(zip(unseen, self._encode_words(unseen)))
-        for s, t in stem.items():
-            known[s] = known[t] + self.stops[s[-1]] if len(t) < len(s) else known[t]
-        for t, o, p in zip(texts, odd, parts):
-            yield self._encode([t])[0] if o else b"".join([known[s] for s in p])
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """The encoder of a worker, which keeps what it has encoded from task to task."""
-    return Encoder(path)
+        for at in range(0, len(texts), TOGETHER):
+            parts = []
+            for text in texts[at : at + TOGETHER]:
+                raw = text.encode()
+                # a special token is one only in lower case, so such a text stays as it is
+                parts.append((raw if b"<|" in raw else _STOP.sub(rb" \1 ", raw.lower())).split())
+            if len(known) > REMEMBERED:
+                known.clear()
+            self._learn({s for p in parts for s in p if s not in known})
+            for p in parts:
+                yield b"".join([known[s] for s in p])
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END_OF_TEXT) -> DataFrame:
@@ -96,7 +114,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         for batch in batches:
             out = defaultdict(list)
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(tokenizer).ids(texts)):
+            encoder = resident(("encoder", tokenizer), lambda: Encoder(tokenizer))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts)):
                 ids += mark
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at : at + 4 * capacity]
@@ -199,7 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = E
         by_length[line[0]].append(line[1:])
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast({n: np.array(x, np.int64) for n, x in by_length.items()})
-    ranked = gapless(cut, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank", rows=sum(histogram.values()))
+    ranked = gapless(cut, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import per_batch, stored
+from lakemart.llm.common import per_batch, release, stored
 from lakemart.llm.hashing import Prefix, mix
 
 #: Letters (bytes) of context, and slots of the table as a power of 2.
@@ -76,6 +76,7 @@ def _count(docs: DataFrame, ids: np.ndarray, marks: np.ndarray) -> DataFrame:
     names = ["gram", "history", "low", "low_history", "letter", *COUNTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known, kind = labelled.value
         size = 1 << SLOT_BITS
         counts = np.zeros((len(COUNTS), size), np.int64)

@@ -2,7 +2,7 @@ import __spark_entry__ as entry_point
 import pytest
 
 import corpus_pipeline as C
-from lakemart.llm import decontamination, minhash, toxicity
+from lakemart.llm import decontamination, toxicity
 from lakemart.llm.queries import ORACLES, QUERIES
 from tests.llm.corpus import odd_documents
 from tests.llm.test_lines import plain_cut
