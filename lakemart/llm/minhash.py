@@ -7,7 +7,9 @@ needs.  Candidates are neighbours in a sorted order and, in every region, each
 document with the region's hub, the member that meets most others in all trees:
 copies of one text are often nearer to it than to each other.  Candidates are
 confirmed on the full shingle sets.  What links have not joined by then is
-compared with all it meets in uncrowded parts.
+compared with all it meets in uncrowded parts and with leading members of crowded
+ones; last, all members of a crowded region that are still apart are compared,
+save pairs whose shingles that no other member has rule a link out.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ TREES = 30
 #: Signature positions that make a region, and further ones where it is crowded.
 DEPTH, DEEPER = 4, (6, 9, 13, 18)
 CROWDED = 24
-#: Members of a part of over 3 * CROWDED that unjoined documents are compared with.
+#: Members of a part of over 3 * CROWDED that unjoined documents are compared with
+#: before all that are still apart.
 LEADERS = 4
 
 _U = np.uint64
@@ -109,8 +112,8 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth: int
 
 
 def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The places (node, n, size, part) in every region of two or more and in the
-    parts of crowded ones; and pairs of neighbours in a sorted order."""
+    """The places (node, n, size, cut, part) in every region of two or more (cut 0)
+    and in the parts of crowded ones; and pairs of neighbours in a sorted order."""
     rows = placed.select("node", "n", F.explode(F.arrays_zip("regions", "tails")).alias("at")).select(
         "node", "n", F.col("at.regions").alias("region"), F.col("at.tails").alias("tail")
     )
@@ -124,7 +127,7 @@ def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     for k in range(len(DEEPER)):
         part = F.shiftrightunsigned("tail", 16 * (len(DEEPER) - 1 - k))
         cuts.append(F.when(F.col("size") > CROWDED, F.struct(F.lit(k + 1).alias("cut"), F.xxhash64("region", F.lit(k), part).alias("part"))))
-    deep = rows.select("node", "n", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select("node", "n", "size", "c.part")
+    deep = rows.select("node", "n", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select("node", "n", "size", "c.cut", "c.part")
     close = (F.col("size") <= CROWDED) | (F.shiftrightunsigned("tail", 48) == F.shiftrightunsigned("near_tail", 48))
     near = rows.filter(F.col("near_node").isNotNull() & close)
     return deep, near.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("near_node").alias("b"), F.col("near_n").alias("nb"))
@@ -137,7 +140,7 @@ def _fitting(pairs: DataFrame, least: int) -> DataFrame:
 
 
 def _candidates(deep: DataFrame, near: DataFrame, least: int) -> DataFrame:
-    """Pairs to be confirmed; about as many as places in regions, whatever the
+    """First pairs to be confirmed; about as many as places in regions, whatever the
     size of a region."""
     met = deep.groupBy("node").agg(F.sum("size").alias("met"))
     hubs = deep.join(met, "node").groupBy("part").agg(
@@ -167,6 +170,35 @@ def _unjoined(deep: DataFrame, labels: DataFrame, tried: DataFrame, least: int)
     return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
+def _apart(deep: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame, least: int) -> DataFrame:
+    """All pairs of one crowded region that no link has joined yet and whose sizes
+    and common shingles allow a link.  A shingle that only one of these members has
+    is shared with none, so the others bound what a pair can share."""
+    placed = deep.filter((F.col("cut") == 0) & (F.col("size") > CROWDED)).select("part", "node", "n").join(labels, "node", "left")
+    placed = placed.select("part", "node", "n", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    every = stored(placed.join(mixed.select("part"), "part", "left_semi"), "apart")
+
+    def read(batch: pa.RecordBatch) -> dict:
+        return {"held": [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]}
+
+    # rows that repeat an id are several sets of one node
+    held = sets.join(every.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    held = held.select(F.col("doc_id").alias("node"), F.xxhash64("shingles").alias("version"), (F.length("shingles") / 8).cast("int").alias("n_held"), "shingles")
+    rows = per_batch(held, read, "held array<long>", ["node", "version", "n_held"]).select("node", "version", "n_held", F.explode("held").alias("shingle"))
+    one = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min(F.struct("node", "version")).alias("of")).filter("holders = 1")
+    alone = one.groupBy("of.node", "of.version").agg(F.count(F.lit(1)).alias("alone"))
+    common = held.select("node", "version", "n_held").join(alone, ["node", "version"], "left").groupBy("node").agg(
+        F.max(F.col("n_held") - F.coalesce("alone", F.lit(0))).alias("common")
+    )
+    able = stored(every.join(common, "node").filter(F.col("common") * 100 >= F.col("n") * least), "apart")
+    other = able.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"), F.col("common").alias("cb"))
+    shared = F.least("n", "nb", "common", "cb")
+    allowed = (F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & (shared * 100 >= (F.col("n") + F.col("nb") - shared) * least)
+    pairs = able.join(other, "part").filter(allowed).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
+    return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(
@@ -248,7 +280,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     pairs = _candidates(deep, near, least)
     links = _confirm(pairs, sets, least)
     labels = components(links)
-    labels = _merged(labels, _confirm(_unjoined(deep, labels, pairs, least), sets, least))
+    more = _unjoined(deep, labels, pairs, least)
+    labels = stored(_merged(labels, _confirm(more, sets, least)), "labels")
+    rest = _apart(deep, labels, sets, pairs.unionByName(more), least)
+    labels = _merged(labels, _confirm(rest, sets, least))
     named = classes.join(labels, "node", "left").select(*key, F.coalesce("label", "node").alias("label"))
     found = signed_docs.select("doc_id", *key).join(named, key, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))

@@ -80,3 +80,23 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     labels = {r.node: r.label for r in M.components(links).collect()}
     assert {labels[i] for i in range(41)} == {0} and labels[101] == 100
+
+
+def test_every_link_inside_a_crowded_region_is_found(spark):
+    """Loose copies of one text crowd the regions of few short trees, so that most
+    of the close pairs among them are neither neighbours nor with a hub or leader."""
+    rng = random.Random(11)
+    base = words(rng, 120, 5000)
+    loose = [changed(rng, base, 3) for _ in range(400)]
+    rows = list(enumerate(loose + [changed(rng, loose[i], 2) for i in range(0, 400, 4)]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    regions = {r.doc_id: set(r.regions) for r in M.sign(docs, 4, 3, 2).collect()}
+    sets = {i: plain_set(t) for i, t in rows}
+    links = [
+        (a, b) for a in regions for b in regions
+        if a < b and regions[a] & regions[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    assert len(links) > 50
+    want = {r.node: r.label for r in M.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    found = {r.doc_id: r.component_id for r in M.near_duplicates(docs, trees=3, depth=2).collect()}
+    assert found == {i: want.get(i, i) for i, _ in rows}
