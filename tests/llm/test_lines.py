@@ -102,3 +102,36 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in rows if r.n_removed} == {5, 12}
     assert [r.text for r in rows if r.doc_id == 2] == [None]
     assert L.remove_lines(empty_documents(spark)).count() == 0
+
+
+def all_pairs_cut(rows):
+    """The texts left where each document is aligned with every earlier one."""
+    keyed = []
+    for i, text in sorted(rows):
+        seen, found = Counter(), {}
+        for k, line in enumerate(text.split("\n")):
+            seen[line] += 1
+            if line:
+                found[line, seen[line]] = k
+        keyed.append((i, found))
+    gone = defaultdict(set)
+    for n, (i, later) in enumerate(keyed):
+        for _, earlier in keyed[:n]:
+            pairs = [(k, earlier[key]) for key, k in later.items() if key in earlier]
+            gone[i].update(L.blocks(L.patience(pairs), {k: len(key[0].split(" ")) for key, k in later.items()}))
+    return {i: "\n".join(line for k, line in enumerate(t.split("\n")) if k not in gone[i]) for i, t in rows}
+
+
+def test_passages_of_short_lines_against_all_pairs(spark):
+    rng = random.Random(8)
+    verse = [sentence(rng, 6) for _ in range(12)]
+    song = [sentence(rng, 3) for _ in range(9)]
+    listed = [sentence(rng, rng.randrange(1, 7)) for _ in range(10)]
+    rows = [(i, "\n".join([sentence(rng, 5), line, sentence(rng, 5)])) for i, line in enumerate([*song, *verse[::2]])]
+    for i in range(100, 160):  # more documents than a rare line has
+        cut, end = sorted(rng.sample(range(11), 2))
+        parts = [[sentence(rng, 9)], verse if i % 2 else verse[cut : end + 1], [sentence(rng, 4), ""], song, listed[cut:] if i % 3 else [], [sentence(rng, 2)]]
+        rows.append((i, "\n".join(itertools.chain(*parts))))
+    found = {r.doc_id: r.text for r in L.remove_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == all_pairs_cut(rows)
+    assert not any(set(song) & set(found[i].split("\n")) for i in range(101, 160))
