@@ -114,6 +114,27 @@ def op1_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract(pages, keep=["page_id", "url"])
 
 
+@query()
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.manifest import verify_tampered
+
+    return verify_tampered(table(spark, folder, "documents"))
+
+
+@query()
+def op12_crosspolytope(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.crosspolytope import near_vectors
+
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query()
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    from lakemart.llm.centroids import cluster
+
+    return cluster(table(spark, folder, "embeddings"))
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
