@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm import twins
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,21 +115,21 @@ def op1_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract(pages, keep=["page_id", "url"])
 
 
-@query()
+@query(twins.manifest_sql())
 def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.manifest import verify_tampered
 
     return verify_tampered(table(spark, folder, "documents"))
 
 
-@query()
+@query(twins.near_vectors_sql())
 def op12_crosspolytope(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.crosspolytope import near_vectors
 
     return near_vectors(table(spark, folder, "embeddings"))
 
 
-@query()
+@query(twins.centroids_sql())
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     from lakemart.llm.centroids import cluster
 
