@@ -7,6 +7,8 @@ only scanned, never shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,23 @@ def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch, allowMissingColumns=True)
 
 
+def refuse_repeats(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """No rows, in the columns of the batch; reading them fails if a key repeats.
+    Only keys are shuffled.  Rows with a NULL in the key match nothing and may repeat."""
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = batch.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    refused = F.raise_error(F.concat(F.lit(f"repeated key in a merge on {', '.join(keys)}: "), shown)).cast("boolean")
+    none = counts.filter(F.when(F.col("_n") > 1, refused).otherwise(F.lit(False)))
+    return none.select(*[F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema])
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], keep: list[str] | None = None) -> DataFrame:
-    """Update matched rows, insert the others.
+    """Update matched rows, insert the others; a batch that has a key twice is refused.
 
     ``keep`` lists the columns in which a matched row keeps its old value.
     """
+    none = refuse_repeats(batch, keys)
     keep = [c for c in keep or [] if c in target.columns and c in batch.columns and c not in keys]
     untouched = target.join(batch.select(*keys), keys, "left_anti")
     if keep:
@@ -35,7 +49,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], keep: list[str]
         batch = batch.join(old, keys, "left").withColumns(
             {c: F.when(F.col("_matched"), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in keep}
         ).drop("_matched", *[f"_old_{c}" for c in keep])
-    return untouched.unionByName(batch, allowMissingColumns=True)
+    return untouched.unionByName(batch, allowMissingColumns=True).unionByName(none, allowMissingColumns=True)
 
 
 def replace_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

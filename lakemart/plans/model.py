@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import merge
 from lakemart.operators.quality import assert_contract
+from lakemart.plans.derivations import DERIVATIONS
+from lakemart.plans.propagation import VALUE, Derivation, difference, fingerprint, holding, same_keys
 from lakemart.session import stored
-from lakemart.sinks.versions import Tables, month_of
+from lakemart.sinks.versions import ProtectedHistory, Tables, clustered, month_of
 
 SPECIAL = ("now", "target")
 BEGINNING = datetime(1899, 12, 31)
@@ -56,25 +58,36 @@ class Model:
     after: Callable[..., DataFrame] | None = None
     history: bool = False
     by_month: str | None = None
+    order: tuple[str, ...] = ()
+
+    @property
+    def derivation(self) -> Derivation | None:
+        return DERIVATIONS.get(self.name) if self.load == "table" else None
 
     @property
     def dealt_by(self) -> tuple[str, ...]:
         """Columns whose hash says in which bucket a row is stored; none for
         tables that are written whole."""
-        if self.by_month or self.after or self.load not in ("merge", "replace", "replace_changed"):
+        if self.derivation:
+            return (self.derivation.unit,)
+        if self.by_month or self.load not in ("merge", "replace", "replace_changed"):
             return ()
         return self.parent or self.keys
 
+    @property
+    def late(self) -> tuple[str, ...]:
+        """Tables that the clean-up step reads."""
+        return tuple(inspect.signature(self.after).parameters)[1:] if self.after else ()
+
     @property
     def tables(self) -> tuple[str, ...]:
         """Upstream tables, those of the clean-up step included."""
-        late = tuple(inspect.signature(self.after).parameters)[1:] if self.after else ()
-        return tuple(dict.fromkeys(n for n in self.inputs + late if n not in SPECIAL))
+        return tuple(dict.fromkeys(n for n in self.inputs + self.late if n not in SPECIAL))
 
 
 MODELS: dict[str, Model] = {}
-#: Buckets of a table that loads change by key, and writes of a table that stay readable.
-BUCKETS, KEPT_WRITES = 64, 3
+#: Writes of a table that stay readable.
+KEPT_WRITES = 3
 
 
 def add(name: str, build: Callable[..., DataFrame], inputs: tuple[str, ...] | None = None, **options) -> Model:
@@ -132,7 +145,7 @@ def evaluate(
         m = models[name]
         df = _call(m, read, now, None)
         if m.after:
-            df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
+            df = m.after(df, *[read(t) for t in m.late])
         built[name] = store(name, df) if store else df
     return built
 
@@ -145,12 +158,6 @@ def _news(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Colum
     return source, _call(m, read, now, target, source)
 
 
-def bucket(columns: tuple[str, ...]) -> Column:
-    """Bucket of a row: a hash of its key as text, the same for all number types."""
-    number = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in columns]), F.lit(BUCKETS))
-    return F.lpad(number.cast("string"), 4, "0")
-
-
 def _merged(m: Model, target: DataFrame, source: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored rows after a batch, by the load of the model."""
     keys = list(m.keys)
@@ -165,43 +172,79 @@ def _merged(m: Model, target: DataFrame, source: DataFrame, batch: DataFrame) ->
     raise ValueError(f"{m.name}: no incremental form of load {m.load!r}")
 
 
-def next_version(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
-    """The whole table after one incremental load."""
-    target = tables.read(m.name)
-    source, batch = _news(m, tables, read, now, target)
-    if m.newer:
-        batch = merge.only_newer(batch, target, list(m.keys), m.newer)
-    # used several times; its known size lets small batches be broadcast
-    return _merged(m, target, source, stored(batch, f"batch-{m.name}"))
+def _published(m: Model, tables: Tables, df: DataFrame) -> DataFrame:
+    """Published tables keep the columns and types they were published with."""
+    if m.name.startswith("pub_") and tables.exists(m.name):
+        return assert_contract(df, tables.live(m.name).schema)
+    return df
+
+
+def _buckets_of(tables: Tables, m: Model, keys: DataFrame) -> list[str]:
+    """Names of the buckets that hold the keys."""
+    return [r[0] for r in keys.select(tables.bucket_of(m.name, m.dealt_by)).distinct().collect()]
+
 
+def _replace(m: Model, tables: Tables, keys: DataFrame, new: DataFrame, target: DataFrame, notes: dict) -> bool:
+    """Store the rows of some keys of a bucketed table; `new` are all their rows.
 
-def merge_buckets(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+    Only buckets with a row that differs are written, and the differing rows are kept
+    as changes.  Says whether there are any.
+    """
+    new = stored(_published(m, tables, new), f"new-{m.name}")
+    old = same_keys(target, keys, "left_semi")
+    if set(old.columns) != set(new.columns):
+        changes = None
+        differing = keys
+    else:
+        changes = stored(difference(old, new), f"changes-{m.name}")
+        differing = stored(changes.select(*m.dealt_by).distinct(), f"differing-{m.name}")
+    touched = _buckets_of(tables, m, differing)
+    if not touched:
+        tables.note(m.name, notes)
+        return False
+    kept = same_keys(tables.read(m.name, touched), differing, "left_anti")
+    merged = kept.unionByName(same_keys(new, differing, "left_semi"), allowMissingColumns=True)
+    tables.replace_buckets(m.name, merged, m.dealt_by, touched, notes=notes, changes=changes, order=m.order)
+    return True
+
+
+def merge_buckets(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> bool | None:
     """Merge into the buckets that the batch or its source has keys of.
 
     All rows that a key can change are in its bucket; other buckets are neither
-    read nor written, and a load without news writes nothing.
+    read nor written, and a load without news writes nothing.  A clean-up step is
+    done again for the keys of its tables' changed rows; None if these are unknown.
     """
+    since = tables.notes(m.name).get("from", {})
+    late = {t: tables.changes_since(t, since.get(t, -1)) for t in m.late}
+    if any(paths is None for paths in late.values()):
+        return None
+    notes = {"from": {t: tables.version(t) for t in m.late}}
     source, batch = _news(m, tables, read, now, tables.read(m.name))
     batch = stored(batch, f"batch-{m.name}")
     changed = batch.select(*m.dealt_by)
     if m.parent or m.load == "replace_changed":
         source = stored(source.select(*m.dealt_by).distinct(), f"changed-{m.name}")
         changed = changed.union(source)
-    touched = [r[0] for r in changed.select(bucket(m.dealt_by)).distinct().collect()]  # at most BUCKETS
+    for t, paths in late.items():
+        if paths:
+            changed = changed.union(tables.changed_rows(t, paths).select(*m.dealt_by))
+    changed = stored(changed.distinct(), f"keys-{m.name}")
+    touched = _buckets_of(tables, m, changed)
     if not touched:
-        return tables.read(m.name)
+        return False
     target = tables.read(m.name, touched)
     if m.newer:
         batch = stored(merge.only_newer(batch, target, list(m.keys), m.newer), f"batch-{m.name}")
         if batch.isEmpty():
-            return tables.read(m.name)
-    merged = _merged(m, target, source, batch)
-    if m.name.startswith("pub_"):
-        merged = assert_contract(merged, target.schema)
-    return tables.replace_parts(m.name, merged, bucket(m.dealt_by), touched)
+            return False
+    new = same_keys(_merged(m, target, source, batch), changed, "left_semi")
+    if m.after:
+        new = m.after(new, *[read(t) for t in m.late])
+    return _replace(m, tables, changed, new, target, notes)
 
 
-def merge_months(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> DataFrame:
+def merge_months(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> bool:
     """Merge into the months that the batch has rows of.
 
     The change time is part of the key, so a stored row that matches is in the
@@ -210,33 +253,109 @@ def merge_months(m: Model, tables: Tables, read: Callable[[str], DataFrame], now
     batch = stored(_news(m, tables, read, now, tables.read(m.name))[1], f"batch-{m.name}")
     months = [r[0] for r in batch.select(month_of(m.by_month)).distinct().collect()]
     if not months:
-        return tables.read(m.name)
-    merged = merge.upsert(tables.read(m.name, months), batch, list(m.keys), list(m.keep))
-    return tables.replace_parts(m.name, merged, month_of(m.by_month))
-
-
-def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column, full: bool = False) -> DataFrame:
-    """Build or update one stored table."""
+        return False
+    target = tables.read(m.name, months)
+    keys = batch.select(*m.keys).distinct()
+    merged = merge.upsert(target, batch, list(m.keys), list(m.keep))
+    changes = None
+    if set(merged.columns) == set(target.columns):
+        changes = difference(same_keys(target, keys, "left_semi"), same_keys(merged, keys, "left_semi"))
+    tables.replace_parts(m.name, merged, month_of(m.by_month), changes=changes)
+    return True
+
+
+def _whole(m: Model, tables: Tables, read: Callable[[str], DataFrame], df: DataFrame, notes: dict, history: bool) -> bool:
+    """Store a table that was built whole; what is as it was is not written again."""
+    if m.after:
+        df = m.after(df, *[read(t) for t in m.late])
+    if not tables.exists(m.name):
+        if m.dealt_by:
+            tables.replace_buckets(m.name, df, m.dealt_by, fresh=True, notes=notes, order=m.order)
+        else:
+            tables.write(m.name, clustered(df, *m.order) if m.order else df, notes=notes)
+        return True
+    df = _published(m, tables, df)
+    if not m.dealt_by:
+        before = tables.version(m.name)
+        tables.rebuild(m.name, clustered(df, *m.order) if m.order else df, history=history, notes=notes, compare=difference)
+        return tables.version(m.name) != before
+    if history:
+        raise ProtectedHistory(f"{m.name} holds history and is not rebuilt")
+    target = tables.read(m.name)
+    if set(target.columns) != set(df.columns) or any(h.part is None for h in tables.live(m.name).held):
+        tables.replace_buckets(m.name, df, m.dealt_by, fresh=True, notes=notes, order=m.order)
+        return True
+    df = stored(df, f"whole-{m.name}")
+    keys = stored(target.select(*m.dealt_by).union(df.select(*m.dealt_by)).distinct(), f"keys-{m.name}")
+    return _replace(m, tables, keys, df, target, notes)
+
+
+def _versions(m: Model, tables: Tables, read: Callable[[str], DataFrame]) -> dict:
+    """What a model reads now: versions of tables, and fingerprints of lookups that have none."""
+    found = {t: tables.version(t) for t in m.tables}
+    return {t: fingerprint(read(t)) if version is None else version for t, version in found.items()}
+
+
+def derive(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column) -> bool | None:
+    """Derive again what the changed rows of a model's inputs lead to.  Nothing is
+    read if no input has changed.  None if the whole model has to be derived."""
+    known = tables.notes(m.name).get("from")
+    if known is None or "now" in m.inputs:
+        return None
+    current = _versions(m, tables, read)
+    changed = [t for t in m.tables if known.get(t) != current[t]]
+    if not changed:
+        return False
+    if not m.derivation or not m.derivation.covers(changed):
+        return None
+    paths = {t: tables.changes_since(t, known[t]) if isinstance(known.get(t), int) else None for t in changed}
+    if any(found is None for found in paths.values()):
+        return None
+    changes = {t: tables.changed_rows(t, found) for t, found in paths.items() if found}
+    notes = {"from": current}
+    if not changes:
+        tables.note(m.name, notes)
+        return False
+    unit = m.derivation.unit
+    units = m.derivation.units(changes, read)
+    if units.filter(F.col(VALUE).isNull()).count():
+        return None
+    keys = units.withColumnRenamed(VALUE, unit)
+    target = tables.read(m.name, _buckets_of(tables, m, keys))
+    new = holding(_call(m, m.derivation.reader(units, read), now, None), units, unit)
+    return _replace(m, tables, keys, new, target, notes)
+
+
+def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Column, full: bool = False) -> bool:
+    """Build or update one stored table; says whether its rows have changed."""
     first = full or not tables.exists(m.name)
     if m.by_month:
-        return tables.replace_parts(m.name, _call(m, read, now, None), month_of(m.by_month)) if first else merge_months(
-            m, tables, read, now
-        )
-    if m.dealt_by and not first:
-        return merge_buckets(m, tables, read, now)
-    if m.dealt_by and not (m.history and tables.exists(m.name)):
-        old = tables.parts(m.name) if tables.exists(m.name) else []
-        return tables.replace_parts(m.name, _call(m, read, now, None), bucket(m.dealt_by), old)
+        if not first:
+            return merge_months(m, tables, read, now)
+        tables.replace_parts(m.name, _call(m, read, now, None), month_of(m.by_month), fresh=True)
+        return True
     if m.load == "append" and not first:
         batch = stored(_news(m, tables, read, now, tables.read(m.name))[1], f"batch-{m.name}")
-        return tables.read(m.name) if batch.isEmpty() else tables.add(m.name, batch)
-    df = _call(m, read, now, None) if first or m.load == "table" else next_version(m, tables, read, now)
-    if m.after:
-        df = m.after(df, *[read(t) for t in tuple(inspect.signature(m.after).parameters)[1:]])
-    if m.name.startswith("pub_") and tables.exists(m.name):
-        # published tables keep the columns and types they were published with
-        df = assert_contract(df, tables.read(m.name).schema)
-    return tables.rebuild(m.name, df, history=m.history and full)
+        if batch.isEmpty():
+            return False
+        tables.add(m.name, batch)
+        return True
+    if m.load == "table":
+        done = None if first else derive(m, tables, read, now)
+        if done is not None:
+            return done
+        notes = {} if "now" in m.inputs else {"from": _versions(m, tables, read)}
+    else:
+        done = None if first else merge_buckets(m, tables, read, now)
+        if done is not None:
+            return done
+        # the clean-up step's tables are read whole, and from here on by their changes
+        notes = {"from": {t: tables.version(t) for t in m.late}}
+        if not first:
+            target = tables.read(m.name)
+            source, batch = _news(m, tables, read, now, target)
+            return _whole(m, tables, read, _merged(m, target, source, stored(batch, f"batch-{m.name}")), notes, False)
+    return _whole(m, tables, read, _call(m, read, now, None), notes, m.history and full)
 
 
 def run(
@@ -249,7 +368,8 @@ def run(
     check: Callable[[str, DataFrame, Callable[[str], DataFrame]], None] | None = None,
 ) -> list[str]:
     """Refresh the models in order, each from stored tables.  A ``check`` that
-    raises ends the run before anything is built on the failed table."""
+    raises ends the run before anything is built on the failed table; tables whose
+    rows have not changed are not checked again."""
     now = F.lit(at).cast("timestamp")
 
     def read(name: str) -> DataFrame:
@@ -257,10 +377,10 @@ def run(
 
     done = in_order(models, wanted)
     for name in done:
-        df = refresh(models[name], tables, read, now, full and not models[name].history)
+        changed = refresh(models[name], tables, read, now, full and not models[name].history)
         tables.prune(name, KEPT_WRITES)
-        if check:
-            check(name, df, read)
+        if check and changed:
+            check(name, tables.read(name), read)
     return done
 
 

@@ -345,13 +345,13 @@ def pub_dim_oppija_henkilo(
 # --- facts ---
 
 
-@model()
+@model(order=("haku_oid", "hakemus_oid"))
 def pub_fct_hakemus(int_ataru_hakemus: DataFrame, int_pohjakoulutus: DataFrame) -> DataFrame:
     base = int_pohjakoulutus.select("hakemus_oid", F.col("pohjakoulutus").cast("string").alias("pohjakoulutus"))
     active = int_ataru_hakemus.filter(F.col("tila") != "inactivated").select(
         "hakemus_oid", "haku_oid", "tila", "henkilo_oid", "pohjakoulutus_kk", "pohjakoulutuksen_maa_toinen_aste"
     )
-    return active.join(base, ["hakemus_oid"], "left").repartitionByRange("haku_oid", "hakemus_oid").sortWithinPartitions("haku_oid")
+    return active.join(base, ["hakemus_oid"], "left")
 
 
 @model()

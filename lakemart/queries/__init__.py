@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["versions", "documents", "joining", "summaries", "scalars", "loading", "arrivals", "checks", "admissions", "mart_reports", "mart_handover"]
+MODULES = ["versions", "documents", "joining", "summaries", "scalars", "loading", "arrivals", "checks", "admissions", "mart_reports", "mart_handover", "increments"]
 
 
 def load_all() -> None:

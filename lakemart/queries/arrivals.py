@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators import aggregates, latest
-from lakemart.plans.model import bucket
 from lakemart.queries.registry import Source, query
 from lakemart.session import stored, work_path
 from lakemart.sinks.chunks import write_chunks
@@ -157,15 +156,15 @@ def refresh_stream(t: Source) -> DataFrame:
     """Landed files refresh the buckets of their keys per batch; order does not matter."""
     spark, base = t.spark, work_path(t.spark, "refresh")
     export_orders(t, f"{base}/in")
-    tables = Tables(spark, f"{base}/tables")
+    tables = Tables(spark, f"{base}/tables", bucket_bytes=1 << 16)
 
     def step(batch: DataFrame, number: int) -> None:
         rows = stored(current_orders(landing.explode_files(batch, now())), "batch")
-        touched = [r[0] for r in rows.select(bucket(("oid",))).distinct().collect()]
+        touched = [r[0] for r in rows.select(tables.bucket_of("orders", ("oid",))).distinct().collect()]
         if tables.exists("orders"):
             rows = latest.newest_per_key(tables.read("orders", touched).unionByName(rows), ["oid"], "muokattu")
         if touched:
-            tables.replace_parts("orders", rows, bucket(("oid",)), touched)
+            tables.replace_buckets("orders", rows, ("oid",), touched)
             tables.prune("orders")
 
     from lakemart.streaming.arrivals import arriving_files

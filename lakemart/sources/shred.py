@@ -125,7 +125,11 @@ def _read(root: str, path: tuple[str, ...]) -> str:
 def shred(raw: DataFrame, shape: Shape, now: Column) -> DataFrame:
     """Typed columns and load metadata of every document."""
     df = shape.before(raw) if shape.before else raw
-    df = parse(F.col("data"), shape.fields, df)
+    return finish(parse(F.col("data"), shape.fields, df), shape, now)
+
+
+def finish(df: DataFrame, shape: Shape, now: Column) -> DataFrame:
+    """Derived columns, key, filter and metadata of rows whose fields have been read."""
     names = [f.column for f in shape.fields]
     if shape.derive:
         derived = shape.derive(df, now)

@@ -62,7 +62,28 @@ def test_upsert_does_not_shuffle_the_target_for_a_small_batch(spark):
     batch = stored(spark.createDataFrame([(1, "y")], "k long, v string"), "batch")
     physical = plan(merge.upsert(target, batch, ["k"], keep=["v"])).split("Physical Plan")[-1]
     assert "BroadcastHashJoin" in physical
-    assert "SortMergeJoin" not in physical and "Exchange hashpartitioning" not in physical
+    assert "SortMergeJoin" not in physical
+    # the keys of the batch are counted, nothing else is shuffled
+    assert physical.count("Exchange hashpartitioning") == 1 and "partial_count" in physical
+
+
+def test_a_batch_with_a_key_twice_is_refused(rows):
+    target = rows([(1, "old")], "k int, v string")
+    with pytest.raises(Exception, match="repeated key in a merge on k: 1"):
+        merge.upsert(target, rows([(1, "x"), (1, "y")], "k int, v string"), ["k"]).collect()
+    unkeyed = merge.upsert(target, rows([(None, "x"), (None, "y"), (1, "new")], "k int, v string"), ["k"])
+    assert sorted(map(tuple, unkeyed.collect()), key=repr) == [(1, "new"), (None, "x"), (None, "y")]
+
+
+def test_all_checks_of_a_table_in_one_pass(rows):
+    df = rows([(1, "a", None), (1, "b", "x"), (2, None, "x"), (None, "c", "x"), (None, "c", None)], "k int, r string, s string")
+    got = dict(map(tuple, quality.keyed_report(df, ["k"], ["r", "s"]).collect()))
+    assert got == {"unique": 1, "k present": 2, "r present": 1, "s present": 2}
+    apart = {"unique": quality.repeated(df, ["k"]), "k present": quality.missing(df, "k"), "r present": quality.missing(df, "r"), "s present": quality.missing(df, "s")}
+    assert got == dict(map(tuple, quality.report(apart).collect()))
+    assert dict(map(tuple, quality.keyed_report(df.limit(0), ["k", "r"], ["s"]).collect())) == {"unique": 0, "k present": 0, "r present": 0, "s present": 0}
+    assert dict(map(tuple, quality.keyed_report(df, [], ["s"]).collect())) == {"s present": 2}
+    assert quality.keyed_report(df, ["k"], ["r"])._jdf.queryExecution().toString().count("LogicalRDD") <= 4
 
 
 def test_upsert_adds_new_columns(rows):
