@@ -8,15 +8,18 @@ document with the region's hub, the member that meets most others in all trees:
 copies of one text are often nearer to it than to each other.  Candidates are
 confirmed on the full shingle sets.  What links have not joined by then is
 compared with all it meets in uncrowded parts and with leading members of crowded
-ones; last, all members of a crowded region that are still apart are compared,
-save pairs whose shingles that no other member has rule a link out.
+ones; last, all members of a crowded region that are still apart are compared.
+Pairs that sizes, parity bits or shingles of one member alone rule out are not
+made: these are exact bounds, so no link is lost by them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import per_batch, stored
@@ -29,6 +32,9 @@ TREES = 30
 #: Signature positions that make a region, and further ones where it is crowded.
 DEPTH, DEEPER = 4, (6, 9, 13, 18)
 CROWDED = 24
+#: Words of a set's parity bits: each shingle flips one bit, so two sets differ by at
+#: least as many shingles as their bits do.
+PARITY_WORDS = 16
 #: Members of a part of over 3 * CROWDED that unjoined documents are compared with
 #: before all that are still apart.
 LEADERS = 4
@@ -88,17 +94,25 @@ def _orders(signature: np.ndarray, trees: int, depth: int) -> tuple[np.ndarray,
     return first, tail
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Parity bits of a set of shingles."""
+    bits = np.bincount((found & _U(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sign(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """Size and identity of each document's shingle set, and its place in every tree."""
+    """Size, identity and parity bits of each document's shingle set, and its place in
+    every tree."""
 
     def run(batch: pa.RecordBatch) -> dict:
         times, plus = _functions(trees * depth)
-        out = {n: [] for n in ("n_shingles", "set_a", "set_b", "regions", "tails")}
+        out = {n: [] for n in ("n_shingles", "set_a", "set_b", "parity", "regions", "tails")}
         for text in batch.column("text").to_pylist():
             found = shingles(text, shingle)
             out["n_shingles"].append(len(found))
             out["set_a"].append(int(signed(mix(found ^ _U(0x5851F42D4C957F2D)).sum(keepdims=True))[0]) if len(found) else 0)
             out["set_b"].append(int(signed(mix(found + _U(0x14057B7EF767814F)).sum(keepdims=True))[0]) if len(found) else 0)
+            out["parity"].append(parity(found))
             if len(found):
                 first, tail = _orders(_signature(found, times, plus), trees, depth)
                 out["regions"].append(signed(first))
@@ -108,14 +122,14 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth: int
                 out["tails"].append([])
         return out
 
-    return per_batch(docs.select("doc_id", "text"), run, "n_shingles long, set_a long, set_b long, regions array<long>, tails array<long>", ["doc_id"])
+    return per_batch(docs.select("doc_id", "text"), run, "n_shingles long, set_a long, set_b long, parity array<long>, regions array<long>, tails array<long>", ["doc_id"])
 
 
 def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The places (node, n, size, cut, part) in every region of two or more (cut 0)
+    """The places (node, n, version, size, cut, part) in every region of two or more (cut 0)
     and in the parts of crowded ones; and pairs of neighbours in a sorted order."""
-    rows = placed.select("node", "n", F.explode(F.arrays_zip("regions", "tails")).alias("at")).select(
-        "node", "n", F.col("at.regions").alias("region"), F.col("at.tails").alias("tail")
+    rows = placed.select("node", "n", "version", F.explode(F.arrays_zip("regions", "tails")).alias("at")).select(
+        "node", "n", "version", F.col("at.regions").alias("region"), F.col("at.tails").alias("tail")
     )
     every = Window.partitionBy("region")
     order = every.orderBy("tail", "node")
@@ -127,7 +141,9 @@ def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     for k in range(len(DEEPER)):
         part = F.shiftrightunsigned("tail", 16 * (len(DEEPER) - 1 - k))
         cuts.append(F.when(F.col("size") > CROWDED, F.struct(F.lit(k + 1).alias("cut"), F.xxhash64("region", F.lit(k), part).alias("part"))))
-    deep = rows.select("node", "n", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select("node", "n", "size", "c.cut", "c.part")
+    deep = rows.select("node", "n", "version", "size", F.explode(F.array_compact(F.array(*cuts))).alias("c")).select(
+        "node", "n", "version", "size", "c.cut", "c.part"
+    )
     close = (F.col("size") <= CROWDED) | (F.shiftrightunsigned("tail", 48) == F.shiftrightunsigned("near_tail", 48))
     near = rows.filter(F.col("near_node").isNotNull() & close)
     return deep, near.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("near_node").alias("b"), F.col("near_n").alias("nb"))
@@ -151,31 +167,49 @@ def _candidates(deep: DataFrame, near: DataFrame, least: int) -> DataFrame:
     return stored(_fitting(pairs.unionByName(near), least), "pairs")
 
 
-def _unjoined(deep: DataFrame, labels: DataFrame, tried: DataFrame, least: int) -> DataFrame:
+def _with_parity(places: DataFrame, bits: DataFrame) -> DataFrame:
+    """Places with the parity bits of their sets, a column for each word."""
+    words = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
+    return places.join(bits.select("node", "version", *words), ["node", "version"])
+
+
+def _near_enough(least: int) -> Column:
+    """Whether sizes and parity bits of (n, p0...) and (nb, q0...) allow a link: sets
+    of s shingles together that differ by d of them have (s - d) / (s + d) in common."""
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(PARITY_WORDS)])
+    return apart * (100 + least) <= (F.col("n") + F.col("nb")) * (100 - least)
+
+
+def _other(places: DataFrame, *more: Column) -> DataFrame:
+    """The other side of a comparison inside parts."""
+    words = [F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY_WORDS)]
+    return places.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"), *words, *more)
+
+
+def _unjoined(deep: DataFrame, labels: DataFrame, bits: DataFrame, tried: DataFrame, least: int) -> DataFrame:
     """Pairs of one part that no link has joined yet: each document with those
     members that meet most others, which in an uncrowded part are all of them.
     A part that links have made one component gives none."""
     met = deep.groupBy("node").agg(F.sum("size").alias("met"))
-    placed = deep.select("part", "node", "n").join(met, "node").join(labels, "node", "left").select(
-        "part", "node", "n", "met", F.coalesce("label", "node").alias("label")
+    placed = deep.select("part", "node", "n", "version").join(met, "node").join(labels, "node", "left").select(
+        "part", "node", "n", "version", "met", F.coalesce("label", "node").alias("label")
     )
     mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("places"))
     mixed = mixed.filter("low < high").select("part", "places")
-    every = placed.join(mixed, "part")
+    every = stored(_with_parity(placed.join(mixed, "part"), bits), "mixed")
     first = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("met"), "node"))
     leaders = F.when(F.col("places") <= 3 * CROWDED, CROWDED).otherwise(LEADERS)
-    led = every.withColumn("at", first).filter(F.col("at") <= leaders)
-    led = led.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"))
-    pairs = every.join(led, "part").filter("label <> other").select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
+    led = _other(every.withColumn("at", first).filter(F.col("at") <= leaders))
+    pairs = every.join(led, "part").filter((F.col("label") != F.col("other")) & _near_enough(least)).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
     return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
-def _apart(deep: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame, least: int) -> DataFrame:
-    """All pairs of one crowded region that no link has joined yet and whose sizes
-    and common shingles allow a link.  A shingle that only one of these members has
+def _apart(deep: DataFrame, labels: DataFrame, bits: DataFrame, sets: DataFrame, tried: DataFrame, least: int) -> DataFrame:
+    """All pairs of one crowded region that no link has joined yet and whose sizes,
+    common shingles and parity bits allow a link.  A shingle that only one of these members has
     is shared with none, so the others bound what a pair can share."""
-    placed = deep.filter((F.col("cut") == 0) & (F.col("size") > CROWDED)).select("part", "node", "n").join(labels, "node", "left")
-    placed = placed.select("part", "node", "n", F.coalesce("label", "node").alias("label"))
+    placed = deep.filter((F.col("cut") == 0) & (F.col("size") > CROWDED)).select("part", "node", "n", "version").join(labels, "node", "left")
+    placed = placed.select("part", "node", "n", "version", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     every = stored(placed.join(mixed.select("part"), "part", "left_semi"), "apart")
 
@@ -191,11 +225,12 @@ def _apart(deep: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame
     common = held.select("node", "version", "n_held").join(alone, ["node", "version"], "left").groupBy("node").agg(
         F.max(F.col("n_held") - F.coalesce("alone", F.lit(0))).alias("common")
     )
-    able = stored(every.join(common, "node").filter(F.col("common") * 100 >= F.col("n") * least), "apart")
-    other = able.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"), F.col("common").alias("cb"))
+    able = every.join(common, "node").filter(F.col("common") * 100 >= F.col("n") * least)
+    able = stored(_with_parity(able, bits), "apart")
+    other = _other(able, F.col("common").alias("cb"))
     shared = F.least("n", "nb", "common", "cb")
     allowed = (F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & (shared * 100 >= (F.col("n") + F.col("nb") - shared) * least)
-    pairs = able.join(other, "part").filter(allowed).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
+    pairs = able.join(other, "part").filter(allowed & _near_enough(least)).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
     return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
@@ -266,8 +301,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     key = ["set_a", "set_b", "n_shingles"]
     classes = stored(signed_docs.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("node")), "classes")
     placed = signed_docs.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *key], "left_semi").select(
-        F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "regions", "tails"
+        F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("set_a").alias("version"), "parity", "regions", "tails"
     )
+    bits = placed.select("node", "version", "parity").dropDuplicates(["node", "version"])
     deep, near = _regions(placed)
     deep = stored(deep, "deep")
 
@@ -280,9 +316,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     pairs = _candidates(deep, near, least)
     links = _confirm(pairs, sets, least)
     labels = components(links)
-    more = _unjoined(deep, labels, pairs, least)
+    more = _unjoined(deep, labels, bits, pairs, least)
     labels = stored(_merged(labels, _confirm(more, sets, least)), "labels")
-    rest = _apart(deep, labels, sets, pairs.unionByName(more), least)
+    rest = _apart(deep, labels, bits, sets, pairs.unionByName(more), least)
     labels = _merged(labels, _confirm(rest, sets, least))
     named = classes.join(labels, "node", "left").select(*key, F.coalesce("label", "node").alias("label"))
     found = signed_docs.select("doc_id", *key).join(named, key, "left")

@@ -100,3 +100,12 @@ def test_every_link_inside_a_crowded_region_is_found(spark):
     want = {r.node: r.label for r in M.components(spark.createDataFrame(links, "a long, b long")).collect()}
     found = {r.doc_id: r.component_id for r in M.near_duplicates(docs, trees=3, depth=2).collect()}
     assert found == {i: want.get(i, i) for i, _ in rows}
+
+
+def test_parity_bits_never_exceed_the_difference():
+    rng = random.Random(9)
+    for _ in range(200):
+        a = M.shingles(words(rng, rng.randrange(1, 300), 50))
+        b = M.shingles(words(rng, rng.randrange(1, 300), 50)) if rng.random() < 0.5 else a[rng.randrange(max(1, len(a) // 4)) :]
+        apart = sum(int(x).bit_count() for x in (M.parity(a) ^ M.parity(b)).view("uint64"))
+        assert apart <= len(set(a.tolist()) ^ set(b.tolist())) and (apart - len(a) - len(b)) % 2 == 0
