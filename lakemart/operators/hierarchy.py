@@ -39,6 +39,35 @@ def closure(nodes: DataFrame, child: str, parent: str) -> DataFrame:
         total, reach = cut_lineage(total.unionByName(further)), 2 * reach
 
 
+def moved(pairs: DataFrame, nodes: DataFrame, child: str, parent: str, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What changes in a closure when some nodes get another parent, or come or go.
+
+    `pairs` is the closure before, `nodes` the tree now, and `changed` holds in the
+    column `child` every node whose parent is not what it was.  Returns the nodes
+    whose pairs change (column descendant), which are the changed ones and all below
+    them, and all pairs that these have now.  Every other node keeps its ancestors.
+    The rounds run over the moved subtrees only, however large the tree is.
+    """
+    moving = changed.select(F.col(child).alias("descendant")).distinct()
+    below = pairs.join(moving.withColumnRenamed("descendant", "ancestor"), "ancestor", "left_semi").select("descendant")
+    affected = cut_lineage(moving.union(below).distinct())
+    own = nodes.select(F.col(child).alias("descendant"), F.col(parent).alias("_parent")).join(affected, "descendant", "left_semi")
+    own = cut_lineage(own.filter(F.col("_parent").isNotNull() & (F.col("_parent") != F.col("descendant"))).distinct())
+    among = affected.withColumnRenamed("descendant", "_parent")
+    inside = closure(own.join(among, "_parent", "left_semi").select(F.col("descendant").alias(child), F.col("_parent").alias(parent)), child, parent)
+    # where a moved subtree hangs on a node that did not move, it takes over the ancestors of that node
+    tops = own.join(among, "_parent", "left_anti")
+    above = pairs.select(F.col("ancestor"), F.col("descendant").alias("_parent"), (F.col("distance") + 1).alias("distance"))
+    over = above.join(tops, "_parent").select("ancestor", "descendant", "distance").unionByName(
+        tops.select(F.col("_parent").alias("ancestor"), "descendant", F.lit(1).alias("distance"))
+    )
+    under = inside.select(F.col("ancestor").alias("_top"), "descendant", F.col("distance").alias("_far"))
+    lifted = over.withColumnRenamed("descendant", "_top").join(under, "_top").select(
+        "ancestor", "descendant", (F.col("distance") + F.col("_far")).alias("distance")
+    )
+    return affected, cut_lineage(inside.unionByName(over).unionByName(lifted).distinct())
+
+
 def closure_with_self(nodes: DataFrame, child: str, parent: str) -> DataFrame:
     """Closure plus every node paired with itself."""
     itself = nodes.select(F.col(child).alias("ancestor"), F.col(child).alias("descendant"), F.lit(0).alias("distance"))

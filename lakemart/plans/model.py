@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import merge
 from lakemart.operators.quality import assert_contract
+from lakemart.plans import contracts
 from lakemart.plans.derivations import DERIVATIONS
 from lakemart.plans.propagation import VALUE, Derivation, difference, fingerprint, holding, same_keys
 from lakemart.session import stored
@@ -173,7 +174,8 @@ def _merged(m: Model, target: DataFrame, source: DataFrame, batch: DataFrame) ->
 
 
 def _published(m: Model, tables: Tables, df: DataFrame) -> DataFrame:
-    """Published tables keep the columns and types they were published with."""
+    """Published tables have the declared types, and keep the columns they were published with."""
+    df = contracts.keep(m.name, df)
     if m.name.startswith("pub_") and tables.exists(m.name):
         return assert_contract(df, tables.live(m.name).schema)
     return df
@@ -268,13 +270,13 @@ def _whole(m: Model, tables: Tables, read: Callable[[str], DataFrame], df: DataF
     """Store a table that was built whole; what is as it was is not written again."""
     if m.after:
         df = m.after(df, *[read(t) for t in m.late])
+    df = _published(m, tables, df)
     if not tables.exists(m.name):
         if m.dealt_by:
             tables.replace_buckets(m.name, df, m.dealt_by, fresh=True, notes=notes, order=m.order)
         else:
             tables.write(m.name, clustered(df, *m.order) if m.order else df, notes=notes)
         return True
-    df = _published(m, tables, df)
     if not m.dealt_by:
         before = tables.version(m.name)
         tables.rebuild(m.name, clustered(df, *m.order) if m.order else df, history=history, notes=notes, compare=difference)

@@ -7,9 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.operators import quality
 from lakemart.plans.catalog import raw_defaults, run
-from lakemart.plans.checks import violations
+from lakemart.plans.checks import KEYS, report
 from lakemart.queries import admission_documents as documents
 from lakemart.queries.admissions import CHOICES, PERSON, REGISTER, STATE, TARGETS, marts
 from lakemart.queries.registry import Source, query
@@ -322,17 +321,39 @@ def mart_two_loads(t: Source) -> DataFrame:
     return tables.read("int_ataru_hakutoive").select("hakemus_oid", "hakukohde_oid", "hakutoivenumero", "poistettu")
 
 
-CHECKED = ["pub_dim_haku", "pub_dim_koulutus", "pub_dim_toteutus", "int_sijoitteluajo", "int_maksuvelvollisuus"]
+#: Rows of a table that are there twice, and their number in SQL.
+TWICE = {
+    "pub_dim_haku": ("haku_oid <= 'H2'", "SELECT count(DISTINCT left(o_orderpriority, 1)) FROM orders WHERE left(o_orderpriority, 1) <= '2'"),
+    "pub_dim_koulutus": ("koulutus_oid = 'K1'", "SELECT count(DISTINCT p_size % 6) FROM part WHERE p_size % 6 = 1"),
+    "pub_dim_toteutus": ("length(toteutus_oid) = 2", "SELECT count(DISTINCT p_size) FROM part WHERE p_size < 10"),
+    "int_maksuvelvollisuus": ("maksuvelvollisuus = 'obligated'", "SELECT count(*) FROM choice WHERE nr = 1 AND o_custkey % 3 = 0"),
+    "int_sijoitteluajo": ("false", "SELECT 0"),
+}
+#: Rows whose key is lost.
+KEYLESS = {
+    "pub_dim_haku": ("haku_oid = 'H5'", "SELECT count(DISTINCT left(o_orderpriority, 1)) FROM orders WHERE left(o_orderpriority, 1) = '5'"),
+    "int_maksuvelvollisuus": ("maksuvelvollisuus <> 'obligated'", "SELECT count(*) FROM choice WHERE nr = 1 AND o_custkey % 3 <> 0"),
+}
 
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS model, CAST(0 AS BIGINT) AS violations" for n in CHECKED))
+def _planted_sql() -> str:
+    rows = [f"SELECT '{n}' AS model, 'unique' AS \"check\", CAST(({sql}) AS BIGINT) AS violations" for n, (_, sql) in TWICE.items()]
+    rows += [f"SELECT '{n}', '{KEYS[n]} present', CAST(({KEYLESS[n][1] if n in KEYLESS else 'SELECT 0'}) AS BIGINT)" for n in TWICE]
+    return f"WITH {CHOICES} " + " UNION ALL ".join(rows)
+
+
+@query(_planted_sql())
 def mart_checks(t: Source) -> DataFrame:
-    """Declared keys of some tables: rows that violate them."""
+    """Declared checks of some tables, each in one pass, where rows are planted that
+    break them: some are there twice, some have lost their key."""
     frames = []
-    for name, df in zip(CHECKED, marts(t, *CHECKED)):
-        report = quality.report(violations(name, df, lambda other: marts(t, other)[0]))
-        frames.append(report.agg(F.lit(name).alias("model"), F.sum("violations").alias("violations")))
+    for name, df in zip(TWICE, marts(t, *TWICE)):
+        key = KEYS[name]
+        df = df.unionByName(df.filter(TWICE[name][0]))
+        if name in KEYLESS:
+            df = df.withColumn(key, F.when(~F.expr(KEYLESS[name][0]), F.col(key)))
+        frames.append(report(name, df, lambda other: marts(t, other)[0]).withColumn("model", F.lit(name)))
     first, *rest = frames
     for frame in rest:
         first = first.unionByName(frame)
-    return first
+    return first.select("model", "check", "violations")

@@ -189,6 +189,26 @@ def test_published_columns_stay(spark, tmp_path):
         run(tables, sources(spark), datetime(2024, 1, 10, 13), ["pub_dim_maksuvelvollisuus"])
 
 
+def test_declared_types_hold_before_the_first_publish(spark, tmp_path):
+    from lakemart.operators.quality import ContractBroken
+    from lakemart.plans import contracts, model
+
+    assert len(contracts.TABLES) == 27 and set(contracts.TABLES) <= set(MODELS)
+    built = evaluate(sources(spark), contracts.TABLES, F.lit("2024-02-10").cast("timestamp"))
+    for name in contracts.TABLES:
+        contracts.keep(name, built[name])
+    assert contracts.contract("pub_dim_haku", ["haku_oid", "hakukohteiden_priorisointi"]).simpleString() == "struct<haku_oid:string,hakukohteiden_priorisointi:boolean>"
+    found = {}
+    saved, model.MODELS = model.MODELS, found
+    try:
+        model.add("pub_dim_maksuvelvollisuus", lambda src: src, ("src",))
+    finally:
+        model.MODELS = saved
+    wrong = spark.createDataFrame([(1, "x")], "hakutoive_id int, maksuvelvollisuus string")
+    with pytest.raises(ContractBroken, match="hakutoive_id is int, not string"):
+        run(Tables(spark, str(tmp_path)), lambda name: wrong, datetime(2024, 1, 1), ["pub_dim_maksuvelvollisuus"], models=found)
+
+
 def test_history_rewrites_only_months_with_news(loaded):
     from pathlib import Path
 
