@@ -356,6 +356,8 @@ def refresh(m: Model, tables: Tables, read: Callable[[str], DataFrame], now: Col
         if not first:
             target = tables.read(m.name)
             source, batch = _news(m, tables, read, now, target)
+            if m.newer:
+                batch = merge.only_newer(batch, target, list(m.keys), m.newer)
             return _whole(m, tables, read, _merged(m, target, source, stored(batch, f"batch-{m.name}")), notes, False)
     return _whole(m, tables, read, _call(m, read, now, None), notes, m.history and full)
 
