@@ -5,13 +5,16 @@ for either label, which are the capacities of its edges to the two terminals;
 blocks that are neighbours on the page or near in the element tree are joined by
 smoothness edges.  The minimum cut separates content from boilerplate: a short
 paragraph follows the long ones around it, a long advert stays with its box.
+
+What the name of an element says holds for all text in it, unless the element is
+the frame of the page's body: one that holds nearly all its paragraphs, or the
+`main` or `article` with most of them.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -50,41 +53,58 @@ NEGATIVE = frozenset(
 )
 NEGATIVE_START = ("advert", "sponsor", "cookie", "newsletter", "comment", "sidebar", "recommend", "breadcrumb")
 POSITIVE = frozenset("article content main post entry story body text prose page hentry".split())
-NEGATIVE_TAGS = frozenset("nav footer aside form menu dialog button search fieldset".split())
+NEGATIVE_TAGS = frozenset("nav footer aside menu dialog button search".split())
+#: Elements that count like a negative name, since some pages are one form.
+NEGATIVE_FRAMES = frozenset("form fieldset".split())
+# of the negative names, those of reader comments and of adverts
+COMMENTS = frozenset("comment comments disqus reply replies respond discussion".split())
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion promoted".split())
+# what stands after these in a name describes the element's state or subject, not its kind
+MODIFIERS = frozenset("no not non without with has have is category cat tag format type status layout term topic".split())
+STATES = frozenset("open closed enabled disabled on off".split())
 
 #: Weights of the classifier; positive speaks for content.
 WEIGHTS = {"bias": -0.8, "boilerplate": -12.0, "header": -4.0, "article": 3.5, "positive": 1.0, "paragraph": 0.6, "words": 0.25, "links": -4.0, "rights": -1.5}
 #: Smoothness of neighbours on the page and of blocks of one parent, over their distance in the tree.
 NEIGHBOUR, SIBLING = 2.0, 1.5
 LONGEST_WORDS = 60
+#: Words that make a block a paragraph, and the share of the paragraphs' text that makes an element the page's frame.
+PARAGRAPH_WORDS, FRAME_SHARE = 10, 0.9
+
+
+@dataclass(eq=False)
+class _Element:
+    tag: str
+    parent: _Element | None = None
+    depth: int = 0
+    marks: frozenset[str] = frozenset()
+    #: what its own name says: "" nothing, "comments", or "boilerplate"
+    named: str = ""
+    #: characters of the paragraphs in it
+    paragraphs: int = 0
+    vetoed: bool = False
 
 
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]
+    within: _Element
     marks: frozenset[str]
     tag: str
     link_chars: int
     chars: int
 
 
-@dataclass
-class _Element:
-    tag: str
-    number: int
-    marks: frozenset[str]
-
-
 @dataclass
 class _Page:
     """Blocks of one page while its tags are read."""
 
+    root: _Element = field(default_factory=lambda: _Element(""))
     open: list[_Element] = field(default_factory=list)
+    elements: list[_Element] = field(default_factory=list)
     found: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    count: int = 0
 
     def text(self, raw: str) -> None:
         if raw and not (self.open and "silent" in self.open[-1].marks):
@@ -99,9 +119,8 @@ class _Page:
             if words:
                 text = " ".join(words)
                 inner = next((e for e in reversed(self.open) if e.tag in BLOCK), None)
-                path = tuple(e.number for e in self.open)
-                marks = self.open[-1].marks if self.open else frozenset()
-                self.found.append(Block(text, path, marks, inner.tag if inner else "", min(self.linked, len(text)), len(text)))
+                within = self.open[-1] if self.open else self.root
+                self.found.append(Block(text, within, within.marks, inner.tag if inner else "", min(self.linked, len(text)), len(text)))
             self.parts, self.linked = [], 0
 
     def start(self, tag: str, attributes: str, closed: bool) -> None:
@@ -115,9 +134,11 @@ class _Page:
             self.open.pop()
         if tag in VOID or closed:
             return
-        self.count += 1
-        marks = self.open[-1].marks if self.open else frozenset()
-        self.open.append(_Element(tag, self.count, marks | _marks(tag, attributes, marks)))
+        parent = self.open[-1] if self.open else self.root
+        marks, named = _marks(tag, attributes, parent.marks)
+        element = _Element(tag, parent, parent.depth + 1, parent.marks | marks if marks else parent.marks, named)
+        self.open.append(element)
+        self.elements.append(element)
 
     def _end_paragraph(self) -> None:
         for at in range(len(self.open) - 1, -1, -1):
@@ -138,9 +159,23 @@ class _Page:
                 return
 
 
-def _marks(tag: str, attributes: str, outer: frozenset[str]) -> frozenset[str]:
-    """What an element says about the text in it."""
+def _name_words(value: str) -> tuple[set[str], set[str]]:
+    """The words of the names in a class, id or role that tell its kind, and of
+    these the words that speak against content."""
+    words: set[str] = set()
+    for name in value.split():
+        parts = [w.lower() for w in _NAME_PART.findall(name)]
+        cut = next((i for i, w in enumerate(parts) if w in MODIFIERS), len(parts))
+        if cut == len(parts) and len(parts) > 1 and parts[-1] in STATES:
+            cut = 0
+        words.update(parts[:cut])
+    return words, {w for w in words if w in NEGATIVE or w.startswith(NEGATIVE_START)}
+
+
+def _marks(tag: str, attributes: str, outer: frozenset[str]) -> tuple[set[str], str]:
+    """What an element says about the text in it, and what its name says."""
     out = set()
+    named = ""
     if tag in SILENT:
         out.add("silent")
     if tag == "a":
@@ -149,27 +184,59 @@ def _marks(tag: str, attributes: str, outer: frozenset[str]) -> frozenset[str]:
         out.add("article")
     if tag in NEGATIVE_TAGS:
         out.add("boilerplate")
+    if tag in NEGATIVE_FRAMES:
+        named = "boilerplate"
     if tag == "header" and "article" not in outer:
         out.add("header")
     if attributes and tag not in ("html", "body", "a"):
         for m in _ATTRIBUTE.finditer(attributes):
             name = m[1].lower()
+            value = m[2] or m[3] or m[4] or ""
             if name in ("class", "id", "role"):
-                value = m[2] or m[3] or m[4] or ""
-                words = {w.lower() for w in _NAME_PART.findall(value)}
+                words, bad = _name_words(value)
+                if tag in ("article", "main"):
+                    bad = {w for w in bad if w in COMMENTS or w in ADVERTS or w.startswith(NEGATIVE_START)}
                 good = words & POSITIVE
-                bad = words & NEGATIVE or any(w.startswith(NEGATIVE_START) for w in words)
                 if bad:
-                    out.add("boilerplate")
+                    comments = any(w in COMMENTS or w.startswith("comment") for w in bad)
+                    named = "comments" if comments or named == "comments" else "boilerplate"
+                elif name == "role" and words & {"main", "article"}:
+                    out.add("article")
                 elif "header" in words and "article" not in outer and not good:
                     out.add("header")
                 elif good:
                     out.add("positive")
-            elif name == "hidden" or name == "aria-hidden" and "true" in attributes.lower():
+            elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
                 out.add("boilerplate")
-            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", (m[2] or m[3] or m[4] or "").lower()):
+            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
                 out.add("boilerplate")
-    return frozenset(out)
+    return out, named
+
+
+def _veto(state: _Page) -> None:
+    """Mark the elements whose text a negative name rules out.
+
+    The name of an element that frames the page's body says nothing, unless it
+    is one of reader comments.  Paragraphs of these do not count.
+    """
+    for element in state.elements:  # outer elements first
+        element.vetoed = element.parent.vetoed or element.named == "comments"
+    for block in state.found:
+        if not block.within.vetoed and "boilerplate" not in block.marks and block.text.count(" ") + 1 >= PARAGRAPH_WORDS:
+            block.within.paragraphs += block.chars - block.link_chars
+    for element in reversed(state.elements):  # inner elements first
+        element.parent.paragraphs += element.paragraphs
+    whole = state.root.paragraphs
+    bodies = [e for e in state.elements if e.tag in ("main", "article") and not e.named]
+    body = max(bodies, key=lambda e: e.paragraphs, default=None)
+    frames = set()
+    if body is not None and 2 * body.paragraphs > whole:
+        while body is not None:
+            frames.add(id(body))
+            body = body.parent
+    for element in state.elements:
+        framing = id(element) in frames or 0 < whole * FRAME_SHARE <= element.paragraphs
+        element.vetoed = element.parent.vetoed or element.vetoed or element.named != "" and not framing
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -202,6 +269,7 @@ def read_blocks(page: str) -> list[Block]:
                     at = end.end() if end else size
                     state.end(tag)
     state.flush()
+    _veto(state)
     return state.found
 
 
@@ -210,7 +278,9 @@ def score(block: Block) -> float:
     w = WEIGHTS
     words = min(LONGEST_WORDS, block.text.count(" ") + 1)
     out = w["bias"] + w["words"] * words**0.5 + w["links"] * block.link_chars / block.chars
-    for mark in ("boilerplate", "header", "article", "positive"):
+    if block.within.vetoed or "boilerplate" in block.marks:
+        out += w["boilerplate"]
+    for mark in ("header", "article", "positive"):
         if mark in block.marks:
             out += w[mark]
     if block.tag in ("p", "blockquote", "pre", "h1", "h2", "h3", "figcaption"):
@@ -220,19 +290,25 @@ def score(block: Block) -> float:
     return out
 
 
+def _steps(a: _Element, b: _Element) -> int:
+    """How many steps lead from one element to the other in the tree."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 def _edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
     out = []
-    last_of: dict[tuple[int, ...], int] = {}
+    last_of: dict[int, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            a, b = blocks[i - 1].path, block.path
-            common = 0
-            for x, y in zip(a, b):
-                if x != y:
-                    break
-                common += 1
-            out.append((i - 1, i, NEIGHBOUR / (1 + len(a) + len(b) - 2 * common)))
-        parent = block.path[:-1]
+            out.append((i - 1, i, NEIGHBOUR / (1 + _steps(blocks[i - 1].within, block.within))))
+        parent = id(block.within.parent or block.within)
         before = last_of.get(parent)
         if before is not None:
             out.append((before, i, SIBLING / 3))
@@ -244,8 +320,10 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
     """Which nodes lie on the source side of a minimum cut.
 
     A positive score is the capacity from the source, a negative one that to the
-    sink; edges bind both ways.  Flow is pushed along shortest paths from nodes
-    with capacity left at the source to nodes with capacity left at the sink.
+    sink; edges bind both ways.  Flow is pushed in rounds: one search gives each
+    node its distance from the nodes with capacity left at the source, then all
+    shortest paths to nodes with capacity left at the sink are filled.  Weak
+    edges fill up near the sources, so a page needs few rounds.
     """
     n = len(scores)
     left = list(scores)
@@ -255,32 +333,46 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
         near[b][a] = near[b].get(a, 0.0) + capacity
     tiny = 1e-9
     while True:
-        before = [-2] * n
-        queue = deque(i for i in range(n) if left[i] > tiny)
-        for i in queue:
-            before[i] = -1
-        sink = -1
-        while queue and sink < 0:
-            i = queue.popleft()
-            for j, room in near[i].items():
-                if room > tiny and before[j] == -2:
-                    before[j] = i
-                    if left[j] < -tiny:
-                        sink = j
-                        break
-                    queue.append(j)
-        if sink < 0:
-            return [b != -2 for b in before]
-        path = [sink]
-        while before[path[-1]] >= 0:
-            path.append(before[path[-1]])
-        source = path[-1]
-        flow = min(left[source], -left[sink], *(near[b][a] for a, b in zip(path, path[1:])))
-        left[source] -= flow
-        left[sink] += flow
-        for a, b in zip(path, path[1:]):
-            near[b][a] -= flow
-            near[a][b] += flow
+        far = [-1] * n
+        layer = [i for i in range(n) if left[i] > tiny]
+        for i in layer:
+            far[i] = 0
+        sources, reached = layer, False
+        while layer and not reached:
+            following = []
+            for i in layer:
+                for j, room in near[i].items():
+                    if room > tiny and far[j] < 0:
+                        far[j] = far[i] + 1
+                        reached = reached or left[j] < -tiny
+                        following.append(j)
+            layer = following
+        if not reached:
+            return [d >= 0 for d in far]
+        ahead: list[list[int] | None] = [None] * n  # what is still to be tried from a node in this round
+        for source in sources:
+            path = [source]
+            while path and left[source] > tiny:
+                i = path[-1]
+                if left[i] < -tiny:
+                    flow = min(left[source], -left[i], *(near[a][b] for a, b in zip(path, path[1:])))
+                    left[source] -= flow
+                    left[i] += flow
+                    for a, b in zip(path, path[1:]):
+                        near[a][b] -= flow
+                        near[b][a] += flow
+                    path = [source]
+                    continue
+                if ahead[i] is None:
+                    ahead[i] = [j for j in near[i] if far[j] == far[i] + 1]
+                while ahead[i] and near[i][ahead[i][-1]] <= tiny:
+                    ahead[i].pop()
+                if ahead[i]:
+                    path.append(ahead[i][-1])
+                else:
+                    path.pop()
+                    if path:  # a dead end: the node before it goes on with its next one
+                        ahead[path[-1]].pop()
 
 
 def main_text(page: str | None) -> tuple[str, int]:
@@ -295,7 +387,8 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Add the main text of each page, its length in code points and its number of blocks.
 
     Null and empty pages, and pages without content, give an empty text; text
-    outside any element counts as a block.  Repeated rows are read each; a column
+    outside any element counts as a block.  A page of any length
+    is read whole, in time that grows with its length.  Repeated rows are read each; a column
     of `pages` that has the name of a result is replaced; an empty table gives no
     rows.
     """

@@ -1,5 +1,8 @@
 import itertools
 import random
+import time
+
+import pytest
 
 from lakemart.llm import html as H
 
@@ -29,6 +32,41 @@ def test_cut_and_broken_pages_do_not_fail():
     assert H.main_text("<article><p>Some text of the page, long enough.</p><p>More te")[0] == "Some text of the page, long enough.\n\nMore te"
 
 
+PARAGRAPHS = "<p>" + "a word and more text of it " * 12 + "</p><p>" + "other words that follow these " * 12 + "</p>"
+AROUND = "<html><body><nav><a href=1>Home</a></nav>%s<div class='comments'><div><p>" + "A reader says this here. " * 10 + "</p></div></div></body></html>"
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<main class="content no-sidebar">%s</main>', '<div class="post-content with-sidebar">%s</div>',
+        '<div class="article post category-legal has-comments">%s</div>', '<div class="entry has-share-buttons">%s</div>',
+        '<div class="post comments-open">%s</div>', '<div class="layout sidebar-right"><div>%s</div></div>', "<form id=aspnetForm><div>%s</div></form>",
+        "<div aria-hidden='false' data-x='true'>%s</div>", '<div class="widget-area"><article class="post notice">%s</article></div>',
+    ],
+)
+def test_names_of_frames_are_not_held_against_the_body(frame):
+    assert H.main_text(AROUND % (frame % PARAGRAPHS))[0] == "\n\n".join(p.strip() for p in PARAGRAPHS[3:-4].split("</p><p>"))
+
+
+def test_names_inside_the_body_are():
+    for box in ('<div class="sidebar">%s</div>', '<section id="comments"><article>%s</article></section>', '<div class="newsletter-signup">%s</div>', "<div aria-hidden=true>%s</div>", "<form>%s</form>"):
+        long = "<p>" + "something that is not part of it " * 9 + "</p>"
+        for page in (f"<main>{PARAGRAPHS}{box % long}</main>", f"<div class=content>{PARAGRAPHS}</div>{box % long}"):
+            assert "something" not in H.main_text(page)[0] and "other words" in H.main_text(page)[0]
+    # comments longer than the article
+    text, _ = H.main_text("<body><div class=content><p>" + "a short article with few words " * 4 + "</p></div><div id=comments>" + PARAGRAPHS * 20 + "</div></body>")
+    assert text == ("a short article with few words " * 4).strip()
+
+
+def test_time_grows_with_the_page():
+    page = "<body>" + "".join(f"<div><p>{'word ' * (i * 7 % 23)} x</p><a href=1>link {i}</a></div>" for i in range(50_000)) + "</body>"
+    start = time.monotonic()
+    assert H.main_text(page)[1] == 100_000
+    assert H.main_text("<div>some words " * 20_000)[1] == 20_000
+    assert time.monotonic() - start < 60
+
+
 def test_cut_is_minimal():
     rng = random.Random(8)
     for _ in range(150):
