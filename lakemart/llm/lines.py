@@ -5,7 +5,9 @@ runs of lines, found through hashes that both share.  A run starts at a short li
 and ends with the line that makes it as long as a block; a longer line is a run by
 itself.  Each pair is aligned with a patience diff of what it shares, and common
 blocks of the alignment are deleted from the later document, however many
-documents hold them.
+documents hold them.  Blocks that moved, which the pair shares against the order of
+its alignment, are deleted after it: so a document that copies a reordered copy
+loses all its lines although it is aligned with the first holder.
 
 A line that repeats within a document is told apart by its count there, so every
 line is unique in its document, as patience diff needs; so is a run.  Each line and
@@ -24,9 +26,6 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import per_batch, stored
 
-#: A line is rare if at most so many documents hold it, or if it has so many words
-#: that it cannot recur by chance.  Only the tests' plain version asks for it.
-RARE_DOCUMENTS, LONG_WORDS = 20, 8
 #: Words that an aligned block needs to be deleted.
 BLOCK_WORDS = 8
 
@@ -74,45 +73,68 @@ def blocks(aligned: list[tuple[int, int]], words: dict[int, int], least: int = B
     return out
 
 
+def _stretches(matches: set[tuple[int, int]], words: dict[int, int], least: int) -> set[tuple[int, int]]:
+    """The matches in stretches, lines that follow each other in both documents, of at least `least` words."""
+    out: set[tuple[int, int]] = set()
+    for later, earlier in matches:
+        if (later - 1, earlier - 1) not in matches:
+            n = 1
+            while (later + n, earlier + n) in matches:
+                n += 1
+            if sum(words[later + k] for k in range(n)) >= least:
+                out.update((later + k, earlier + k) for k in range(n))
+    return out
+
+
+def common_blocks(matches: set[tuple[int, int]], words: dict[int, int], least: int = BLOCK_WORDS) -> set[int]:
+    """Lines of the later document in blocks of the alignment, and in blocks that
+    moved: stretches of the lines that are left."""
+    matches = _stretches(matches, words, least)
+    out = set(blocks(patience(list(matches)), words, least))
+    moved = _stretches({m for m in matches if m[0] not in out}, words, least)
+    return out.union(later for later, _ in moved)
+
+
 def _lines(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(line, doc, at, words, hash, near): every line but blank ones; `line` tells a text and its count in the document,
-    `near` whether it is shorter than a block or follows such a line, so that it can be part of a run."""
+    """(line, check, doc, at, words, hash, sum, near): every line but blank ones; `line` and `check`, hashes of 96 bits in all,
+    tell a text and its count in the document, `near` whether it is shorter than a block or follows such a line, so that it can be part of a run."""
     text = F.translate(F.col("value"), "\t\r", "  ")
     rows = docs.select("_line_row", F.posexplode(F.split("text", "\n")).alias("at", "value")).select(
         F.col("_line_row").alias("doc"), "at", F.trim(F.regexp_replace(text, " +", " ")).alias("value")
     ).filter("value <> ''")
-    rows = rows.select("doc", "at", F.xxhash64("value", F.length("value")).alias("hash"), (F.size(F.split("value", " "))).alias("words"))
+    rows = rows.select("doc", "at", F.xxhash64("value", F.length("value")).alias("hash"), F.hash("value").alias("sum"), (F.size(F.split("value", " "))).alias("words"))
     order = Window.partitionBy("doc").orderBy("at")
     follows = (F.lag("words").over(order) < block_words) & (F.lag("at").over(order) == F.col("at") - 1)
     again = F.row_number().over(Window.partitionBy("doc", "hash").orderBy("at"))
     rows = rows.withColumn("near", (F.col("words") < block_words) | F.coalesce(follows, F.lit(False))).withColumn("again", again)
-    return rows.select(F.xxhash64("hash", "again").alias("line"), "doc", "at", "words", "hash", "near")
+    return rows.select(F.xxhash64("hash", "again").alias("line"), F.hash("sum", "again").alias("check"), "doc", "at", "words", "hash", "sum", "near")
 
 
 def _runs(lines: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(line, doc, at, words) of the runs: from a line shorter than a block, the lines
+    """(line, check, doc, at, words) of the runs: from a line shorter than a block, the lines
     that follow without a blank one until they are a block; `words` has one number
     for each of them."""
     ahead = Window.partitionBy("doc").orderBy("at").rowsBetween(0, block_words - 1)
-    rows = lines.filter("near").withColumn("ahead", F.collect_list(F.struct("at", "hash", "words")).over(ahead))
+    rows = lines.filter("near").withColumn("ahead", F.collect_list(F.struct("at", "hash", "sum", "words")).over(ahead))
 
     def longer(run: Column, x: Column) -> Column:
-        grown = F.struct((run["n"] + 1).alias("n"), (run["words"] + x["words"]).alias("words"), F.xxhash64(run["hash"], x["hash"]).alias("hash"))
+        hashes = F.xxhash64(run["hash"], x["hash"]).alias("hash"), F.hash(run["sum"], x["sum"]).alias("sum")
+        grown = F.struct((run["n"] + 1).alias("n"), (run["words"] + x["words"]).alias("words"), *hashes)
         return F.when((run["words"] < block_words) & (x["at"] == F.col("at") + run["n"]), grown).otherwise(run)
 
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(0).cast("long").alias("hash"))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(0).cast("long").alias("hash"), F.lit(0).alias("sum"))
     rows = rows.filter(F.col("words") < block_words).withColumn("run", F.aggregate("ahead", start, longer)).filter(F.col("run.words") >= block_words)
-    rows = rows.select("doc", "at", F.col("run.hash").alias("hash"), F.slice(F.col("ahead.words"), F.lit(1), F.col("run.n")).alias("words"))
+    rows = rows.select("doc", "at", F.col("run.hash").alias("hash"), F.col("run.sum").alias("sum"), F.slice(F.col("ahead.words"), F.lit(1), F.col("run.n")).alias("words"))
     again = F.row_number().over(Window.partitionBy("doc", "hash").orderBy("at"))
-    return rows.withColumn("again", again).select(F.xxhash64("hash", "again").alias("line"), "doc", "at", "words")
+    return rows.withColumn("again", again).select(F.xxhash64("hash", "again").alias("line"), F.hash("sum", "again").alias("check"), "doc", "at", "words")
 
 
 def _owned(lines: DataFrame) -> DataFrame:
     """(owner, doc, at, owner_at, words) of all but the first holder of each line."""
-    first = lines.groupBy("line").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    first = lines.groupBy("line", "check").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
     # stored, so that both sides of the join are plain and a frequent line is split over tasks
-    first = stored(first.select("line", F.col("first.doc").alias("owner"), F.col("first.at").alias("owner_at")), "first")
-    return lines.join(first, "line").filter("doc <> owner").select("owner", "doc", "at", "owner_at", "words")
+    first = stored(first.select("line", "check", F.col("first.doc").alias("owner"), F.col("first.at").alias("owner_at")), "first")
+    return lines.join(first, ["line", "check"]).filter("doc <> owner").select("owner", "doc", "at", "owner_at", "words")
 
 
 def find_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -134,8 +156,7 @@ def find_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         at, owner_at, words = (found.field(n).to_numpy() for n in ("at", "owner_at", "words"))
         for i, j in zip(ends, ends[1:]):  # one pair at a time: a list of all matches as objects is large
             later = at[i:j].tolist()
-            kept = patience(list(set(zip(later, owner_at[i:j].tolist()))))
-            out.append(blocks(kept, dict(zip(later, words[i:j].tolist())), block_words))
+            out.append(sorted(common_blocks(set(zip(later, owner_at[i:j].tolist())), dict(zip(later, words[i:j].tolist())), block_words)))
         return {"lines": out}
 
     deleted = per_batch(pairs, align, "lines array<int>", ["doc"]).filter(F.size("lines") > 0)
@@ -158,7 +179,8 @@ def remove_lines(docs: DataFrame, keep: list[str] | None = None, **limits: int)
     aligned nor an earlier document.  Null and empty texts have no lines; lines
     are compared with white space runs as one blank, and blank lines stay.  All
     decisions are made on the texts as given, and the first holder of a line
-    always keeps it.  Adds n_lines and n_removed; a column of that name is replaced.
+    always keeps it.  A document of any length is aligned whole; an empty table
+    gives no rows.  Adds n_lines and n_removed; a column of that name is replaced.
     """
     names = ("n_lines", "n_removed")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
