@@ -12,8 +12,8 @@ from lakemart.operators import aggregates, latest
 from lakemart.queries.registry import Source, query
 from lakemart.session import stored, work_path
 from lakemart.sinks.chunks import write_chunks
-from lakemart.sinks.export import export_layers
-from lakemart.sinks.versions import Tables, clustered, view
+from lakemart.sinks.export import export_layers, read_export
+from lakemart.sinks.versions import ProtectedHistory, Tables, clustered, view
 from lakemart.sources import landing
 from lakemart.sources.shred import Shape, fields, shred
 from lakemart.sources.tables import read_seed
@@ -227,8 +227,8 @@ def export_manifest(t: Source) -> DataFrame:
     frames = []
     for entry in listed:
         name = entry.key.split("/")[1].removesuffix(".csv.gz")
-        rows = spark.read.csv([f"{base}/out/{entry.key}/{p}" for p in entry.parts], header=True, escape='"')
-        columns = [F.col(c).alias(a) for c, a in zip(shown[name], ("id", "label", "place"))]
+        rows = read_export(spark, f"{base}/out/{entry.key}", entry.parts, tables.read(name).schema)
+        columns = [F.col(c).cast("string").alias(a) for c, a in zip(shown[name], ("id", "label", "place"))]
         frames.append(rows.select(F.lit(name).alias("name"), F.lit(entry.version).cast("int").alias("version"), *columns))
     return reduce(DataFrame.unionByName, frames)
 
@@ -247,6 +247,28 @@ def sorted_write(t: Source) -> DataFrame:
     return rows.join(blocks, ["file", "block"]).select("o_orderkey", "o_custkey", (F.col("at") - F.col("first") + F.col("before") + 1).alias("place"))
 
 
+@query(
+    "SELECT 'history' AS kind, true AS refused, o_orderkey, o_orderstatus FROM orders "
+    "UNION ALL SELECT 'derived', false, o_orderkey, 'again' FROM orders WHERE o_orderstatus = 'F'"
+)
+def history_not_rebuilt(t: Source) -> DataFrame:
+    """A full refresh of two tables with other rows: history refuses it and keeps
+    its rows, a table that is derived takes the new ones."""
+    tables = Tables(t.spark, work_path(t.spark, "protected"))
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    fewer = rows.filter("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("again"))
+    frames = []
+    for kind in ("history", "derived"):
+        tables.rebuild(kind, rows, history=kind == "history")
+        refused = False
+        try:
+            tables.rebuild(kind, fewer, history=kind == "history")
+        except ProtectedHistory:
+            refused = True
+        frames.append(tables.read(kind).select(F.lit(kind).alias("kind"), F.lit(refused).alias("refused"), "o_orderkey", "o_orderstatus"))
+    return frames[0].unionByName(frames[1])
+
+
 @query("SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY n_regionkey")
 def published_view(t: Source) -> DataFrame:
     name = view(t.nation, "lakemart_published_nation")

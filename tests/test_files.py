@@ -1,3 +1,5 @@
+import csv
+import gzip
 import json
 from datetime import datetime
 
@@ -5,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.sinks.chunks import write_chunks
-from lakemart.sinks.export import export_layers
+from lakemart.sinks.export import export_csv, export_layers, parts_of, read_export
 from lakemart.sinks.versions import ProtectedHistory, Tables
 from lakemart.sources import landing
 from lakemart.sources.shred import Shape, fields, shred
@@ -122,12 +124,27 @@ def test_export_layers(spark, tmp_path):
     stored = json.loads((tmp_path / "out" / "pub" / "manifest.json").read_text())
     assert stored == manifests["pub_"]
     entry = stored["tables"][1]
-    back = spark.read.csv([f"{tmp_path}/out/{entry['key']}/{p}" for p in entry["parts"]], header=True, escape='"')
-    assert [tuple(r) for r in back.collect()] == [("1", 'say "x", y')]
+    back = read_export(spark, f"{tmp_path}/out/{entry['key']}", entry["parts"], tables.read("pub_b").schema)
+    assert [tuple(r) for r in back.collect()] == [(1, 'say "x", y')]
     again = export_layers(tables, ["pub_"], str(tmp_path / "out"))["pub_"]["tables"][1]
     assert again["key"] != entry["key"] and back.count() == 1
 
 
+def test_parts_of_an_export_are_one_file(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else f'row, "{i}"') for i in range(500)]
+    df = spark.createDataFrame(rows, 'k int, `v, "w"` string').repartitionByRange(5, "k").sortWithinPartitions("k")
+    for name, frame, least in (("many", df, 6), ("none", df.limit(0), 1)):
+        export_csv(frame, str(tmp_path / name))
+        parts = parts_of(spark, str(tmp_path / name))
+        assert len(parts) >= least
+        whole = tmp_path / f"{name}.csv.gz"
+        whole.write_bytes(b"".join((tmp_path / name / p).read_bytes() for p in parts))
+        found = list(csv.reader(gzip.decompress(whole.read_bytes()).decode().splitlines()))
+        assert found == [["k", 'v, "w"'], *([str(k), v or ""] for k, v in rows if name == "many")]
+        back = spark.read.csv(str(whole), header=True, escape='"', schema=df.schema)
+        assert sorted(map(tuple, back.collect())) == [r for r in rows if name == "many"]
+
+
 def test_added_rows_do_not_rewrite_the_table(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     tables.write("stg_t", spark.range(3).selectExpr("id"))
