@@ -1,8 +1,10 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
 Only Spark expressions: each text is scanned within its row, so nothing is
-shuffled.  A template is compared with a unit (a line, or the whole text) only
-where the sizes of the two bigram sets can reach the wanted coefficient.
+shuffled.  A template is compared with a unit only where the sizes of the two
+bigram sets can reach the wanted coefficient.  Units are the lines of a text, its
+paragraphs of several lines, and the whole text: so a notice is found on a line of
+its own, wrapped between blank lines, or as all there is.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST_DICE = 0.8
+SPACES = " \t\r\n"
+#: What separates paragraphs.
+BLANK_LINES = r"\n[ \t\r]*\n[ \t\r\n]*"
 
 # fixed values: licence notices as their licensors word them
 TEMPLATES = [
@@ -61,8 +66,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     license: of the best unit's template, null where no unit reaches `least`;
     dice: that coefficient; n_matches: units that reach `least` with any template.
     Among equal coefficients the template listed first wins.  Null and empty
-    texts, and texts without two words, have no match.  Repeated rows are scanned
-    each; columns of `docs` that have the name of a result are replaced.
+    texts, and texts without two words, have no match.  Long texts are scanned whole, an empty table
+    gives no rows.  Repeated rows are scanned each; columns of `docs` that have the name of a result are replaced.
     """
     templates = TEMPLATES if templates is None else templates
     bigrams = [template_bigrams(t) for _, t in templates]
@@ -78,7 +83,14 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
         return F.array_max(F.filter(scored, lambda s: s["dice"] >= least))
 
     text = F.coalesce("text", F.lit(""))
-    units = F.concat(F.split(text, "\n"), F.when(F.instr(text, "\n") > 0, F.array(text)).otherwise(F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    # a paragraph of one line is a unit already, so is a text without a blank line
+    paragraphs = F.filter(F.split(text, BLANK_LINES), lambda p: F.instr(F.btrim(p, F.lit(SPACES)), "\n") > 0)
+    units = F.concat(
+        F.split(text, "\n"),
+        F.when(text.rlike(BLANK_LINES), paragraphs).otherwise(none),
+        F.when(F.instr(text, "\n") > 0, F.array(text)).otherwise(none),
+    )
     kept = docs.columns if keep is None else keep
     kept = [c for c in kept if c.lower() not in ("license", "dice", "n_matches", "_units")]
     step = docs.select(*kept, F.transform(units, _words).alias("_units"))
@@ -103,6 +115,9 @@ def oracle(least: float = LEAST_DICE) -> str:
     units AS (
         SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS u FROM documents
         UNION ALL SELECT doc_id, text FROM documents WHERE contains(text, chr(10))
+        UNION ALL SELECT doc_id, p FROM (
+            SELECT doc_id, unnest(regexp_split_to_array(text, '{BLANK_LINES}')) AS p FROM documents WHERE regexp_matches(text, '{BLANK_LINES}')
+        ) WHERE contains(trim(p, ' ' || chr(9) || chr(13) || chr(10)), chr(10))
     ),
     words AS (SELECT doc_id, string_split({plain}, ' ') AS w FROM units),
     bigrams AS (

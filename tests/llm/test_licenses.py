@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 
 from lakemart.llm import licenses as L
@@ -14,6 +16,26 @@ def test_templates_bounds_and_ties(spark):
     assert found[1].dice == 1.0 and found[3].n_matches == 3 and found[6].n_matches == 0
 
 
+def wrapped(text, width):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_paragraphs_of_several_lines(spark):
+    long = max((t for n, t in L.TEMPLATES if n == "MIT"), key=len)
+    other = "\n".join(f"line {k} of some other text that says nothing of the kind" for k in range(40))
+    rows = [
+        (1, f"{wrapped(long, 72)}\n\n{other}"), (2, f"{other}\n \t\r\n\n{wrapped(long, 30)}\n"), (3, f"{long}\n\n{other}"), (4, f"\n{long}\n\n{other}\n\n"),
+        (5, other), (6, f"{other}\n\n{other}"), (7, wrapped(long, 40)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.license, r.n_matches) for r in L.scan_licenses(docs).collect()}
+    assert found == {1: ("MIT", 1), 2: ("MIT", 1), 3: ("MIT", 1), 4: ("MIT", 1), 5: (None, 0), 6: (None, 0), 7: ("MIT", 1)}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(f"SELECT doc_id, license, n_matches FROM ({L.oracle()})").fetchall()
+    assert {i: (name, n) for i, name, n in want} == found
+
+
 def test_odd_rows_against_sql(spark):
     docs = odd_documents(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     extra = spark.createDataFrame([(100 + k, f"x y z\n{t}\n{t} again") for k, (_, t) in enumerate(L.TEMPLATES)], "doc_id long, text string")
