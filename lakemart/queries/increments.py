@@ -133,7 +133,8 @@ def shred_variants(t: Source) -> DataFrame:
         variants.at("data", "oid", kind="bigint").alias("oid"),
         F.when(variants.is_null("data", "kausi"), "JSON null").when(variants.is_there("data", "kausi"), "value").otherwise("absent").alias("state"),
     )
-    return rows.join(states, ["oid"]).select("oid", "kausi", "vuosi", "nimi_fi", "state")
+    # what Spark expects of columns read out of VARIANT is far too small: without the hint all of them are broadcast
+    return rows.join(states.hint("merge"), ["oid"]).select("oid", "kausi", "vuosi", "nimi_fi", "state")
 
 
 @query(
