@@ -31,15 +31,22 @@ def newer_versions(rows: DataFrame, key: str, time: str) -> DataFrame:
     )
 
     def newest(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known = tuple(state.get) if state.exists else None
-        best, chosen = known, None
+        best, chosen = tuple(state.get) if state.exists else None, None
         for pdf in batches:
-            for place, found in enumerate(zip(pdf["_at"].tolist(), pdf["_hash"].tolist())):
-                if best is None or found > best:
-                    best, chosen = found, pdf.iloc[[place]]
+            times = pdf["_at"].to_numpy()
+            # of the rows with the newest time the one with the largest hash
+            at = int(times.max())
+            if best is not None and at < best[0]:
+                continue
+            places = (times == at).nonzero()[0]
+            place = int(places[pdf["_hash"].to_numpy()[places].argmax()])
+            found = (at, int(pdf["_hash"].iat[place]))
+            if best is None or found > best:
+                best, chosen = found, (pdf, place)
         if chosen is not None:
             state.update(best)
-            yield chosen[columns]
+            pdf, place = chosen
+            yield pdf.iloc[[place]][columns]
 
     schema = rows.schema
     return stamped.groupBy(key).applyInPandasWithState(newest, schema, "at long, hash long", "append", GroupStateTimeout.NoTimeout)
