@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import jsonx, seasons, text
-from lakemart.functions.keys import surrogate_key
+from lakemart.functions.keys import key_text, surrogate_key
 from lakemart.operators import aggregates, joins, latest
 from lakemart.plans.dw import current
 from lakemart.plans.int1 import HIGHER_BASE_EDUCATION, choice_key
@@ -482,11 +482,15 @@ def int_hakutoive_valintatapajono(
     int_valintarekisteri_valintatapajono: DataFrame,
 ) -> DataFrame:
     """Results of a choice in all its queues as a JSON array, in queue order."""
-    places = int_valintarekisteri_jonosija.drop("jonosija_id", "hakutoive_id", "hakemus_oid", "hakukohde_oid", "valintatapajono_oid", "sijoitteluajo_id").withColumnRenamed("prioriteetti", "_place_priority")
+    # digests do not compress, so the shuffles carry the columns that they are made of
+    digests = ("hakutoive_id", "hakemus_hakukohde_valintatapa_id")
+    parts = ("hakemus_oid", "hakukohde_oid", "valintatapajono_oid")
+    placed = {p: f"_place_{p}" for p in parts}
+    places = int_valintarekisteri_jonosija.drop(*digests, "jonosija_id", "sijoitteluajo_id").withColumnsRenamed(placed | {"prioriteetti": "_place_priority"})
     queues = int_valintarekisteri_valintatapajono.select("valintatapajono_oid", "valintatapajono_nimi", "prioriteetti")
-    rows = int_valintarekisteri_valinnantulos.join(places, ["hakemus_hakukohde_valintatapa_id"], "left").join(
-        queues, ["valintatapajono_oid"], "left"
-    )
+    rows = int_valintarekisteri_valinnantulos.drop(*digests).join(
+        places, surrogate_key(*parts) == surrogate_key(*placed.values()), "left"
+    ).join(queues, ["valintatapajono_oid"], "left")
     accepted = F.col("valinnan_tila").isin(*ACCEPTED_IN_QUEUE)
     state = F.when(accepted & F.col("hyvaksytty_harkinnanvaraisesti"), BY_DISCRETION).otherwise(F.col("valinnan_tila"))
     result = F.struct(
@@ -506,11 +510,11 @@ def int_hakutoive_valintatapajono(
     day = F.col("valintatiedon_pvm").cast("date")
     best = F.min(F.when(rank > 0, F.struct(rank.alias("rank"), day.isNull().alias("undated"), day.alias("day"), state.alias("state"))))
     flag = F.max(F.coalesce(accepted & F.col("ehdollisesti_hyvaksyttavissa"), F.lit(False)))
-    grouped = rows.groupBy("hakutoive_id").agg(
+    grouped = rows.groupBy(key_text("hakemus_oid", "hakukohde_oid").alias("_choice")).agg(
         jsonx.to_array(F.array_sort(F.collect_list(result))).alias("valintatapajonot"), best.alias("best"), flag.alias("ehdollisesti_hyvaksytty")
     )
     return grouped.select(
-        "hakutoive_id", "valintatapajonot", F.col("best.state").alias("valintatieto"), F.col("best.day").alias("valintatiedon_pvm"),
+        F.md5("_choice").alias("hakutoive_id"), "valintatapajonot", F.col("best.state").alias("valintatieto"), F.col("best.day").alias("valintatiedon_pvm"),
         "ehdollisesti_hyvaksytty",
     )
 
