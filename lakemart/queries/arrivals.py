@@ -13,6 +13,7 @@ from lakemart.queries.registry import Source, query
 from lakemart.session import stored, work_path
 from lakemart.sinks.chunks import write_chunks
 from lakemart.sinks.export import export_layers, read_export
+from lakemart.sinks.gathered import Gathered
 from lakemart.sinks.versions import ProtectedHistory, Tables, clustered, view
 from lakemart.sources import landing
 from lakemart.sources.shred import Shape, fields, shred
@@ -153,23 +154,21 @@ def land_stream(t: Source) -> DataFrame:
     """
 )
 def refresh_stream(t: Source) -> DataFrame:
-    """Landed files refresh the buckets of their keys per batch; order does not matter."""
+    """Landed files refresh the table of the newest orders per batch; order does not matter."""
     spark, base = t.spark, work_path(t.spark, "refresh")
     export_orders(t, f"{base}/in")
     tables = Tables(spark, f"{base}/tables", bucket_bytes=1 << 16)
+    held = Gathered(tables, "orders", ("oid",), "muokattu")
 
     def step(batch: DataFrame, number: int) -> None:
         rows = stored(current_orders(landing.explode_files(batch, now())), "batch")
-        touched = [r[0] for r in rows.select(tables.bucket_of("orders", ("oid",))).distinct().collect()]
-        if tables.exists("orders"):
-            rows = latest.newest_per_key(tables.read("orders", touched).unionByName(rows), ["oid"], "muokattu")
-        if touched:
-            tables.replace_buckets("orders", rows, ("oid",), touched)
-            tables.prune("orders")
+        if not rows.isEmpty():
+            held.add(rows)
 
     from lakemart.streaming.arrivals import arriving_files
 
     refresh_on_arrival(arriving_files(spark, f"{base}/in", 100), f"{base}/checkpoint", step)
+    held.merge()
     return tables.read("orders").select(
         "oid", "asiakas", "tila", "hinta", F.date_format("paiva", "yyyy-MM-dd").alias("paiva")
     )
