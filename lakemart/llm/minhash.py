@@ -168,9 +168,15 @@ def _candidates(deep: DataFrame, near: DataFrame, least: int) -> DataFrame:
 
 
 def _with_parity(places: DataFrame, bits: DataFrame) -> DataFrame:
-    """Places with the parity bits of their sets, a column for each word."""
+    """Places with the parity bits of their sets, a column for each word.  The bits are
+    looked up once for a set; it has a place in each tree and each cut at most."""
+    rest = [c for c in places.columns if c not in ("node", "version")]
+    sets = places.groupBy("node", "version").agg(F.collect_list(F.struct(*rest)).alias("_places"))
+    found = sets.join(bits.select("node", "version", "parity"), ["node", "version"])
     words = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
-    return places.join(bits.select("node", "version", *words), ["node", "version"])
+    return found.select("node", "version", "parity", F.explode("_places").alias("_place")).select(
+        "node", "version", *[F.col(f"_place.{c}").alias(c) for c in rest], *words
+    )
 
 
 def _near_enough(least: int) -> Column:
