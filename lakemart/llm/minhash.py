@@ -192,6 +192,21 @@ def _other(places: DataFrame, *more: Column) -> DataFrame:
     return places.select("part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"), *words, *more)
 
 
+def _met_by_others(placed: DataFrame) -> DataFrame:
+    """The leading members of each part (leads), and the members that have another label
+    than one of them.  No other member of a part is compared with any."""
+    part = Window.partitionBy("part")
+    placed = placed.withColumns({"at": F.row_number().over(part.orderBy(F.desc("met"), "node")), "places": F.count(F.lit(1)).over(part)})
+    leaders = F.when(F.col("places") <= 3 * CROWDED, CROWDED).otherwise(LEADERS)
+    placed = placed.withColumn("leads", F.col("at") <= leaders)
+    label, of_leader = F.col("label"), F.when(F.col("leads"), F.col("label"))
+    placed = placed.withColumns({
+        "mixed": F.min(label).over(part) < F.max(label).over(part), "low": F.min(of_leader).over(part), "high": F.max(of_leader).over(part),
+    })
+    met = F.col("mixed") & (F.col("leads") | (label != F.col("low")) | (label != F.col("high")))
+    return placed.filter(met).select("part", "node", "n", "version", "label", "leads")
+
+
 def _unjoined(deep: DataFrame, labels: DataFrame, bits: DataFrame, tried: DataFrame, least: int) -> DataFrame:
     """Pairs of one part that no link has joined yet: each document with those
     members that meet most others, which in an uncrowded part are all of them.
@@ -200,12 +215,8 @@ def _unjoined(deep: DataFrame, labels: DataFrame, bits: DataFrame, tried: DataFr
     placed = deep.select("part", "node", "n", "version").join(met, "node").join(labels, "node", "left").select(
         "part", "node", "n", "version", "met", F.coalesce("label", "node").alias("label")
     )
-    mixed = placed.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("places"))
-    mixed = mixed.filter("low < high").select("part", "places")
-    every = stored(_with_parity(placed.join(mixed, "part"), bits), "mixed")
-    first = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("met"), "node"))
-    leaders = F.when(F.col("places") <= 3 * CROWDED, CROWDED).otherwise(LEADERS)
-    led = _other(every.withColumn("at", first).filter(F.col("at") <= leaders))
+    every = stored(_with_parity(_met_by_others(placed), bits), "mixed")
+    led = _other(every.filter("leads"))
     pairs = every.join(led, "part").filter((F.col("label") != F.col("other")) & _near_enough(least)).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
     return stored(_fitting(pairs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
 
