@@ -12,6 +12,7 @@ from lakemart.plans.dw import current
 from lakemart.plans.int1 import HIGHER_BASE_EDUCATION, choice_key
 from lakemart.plans.model import Since, model
 from lakemart.plans.shapes import SPECIAL_QUESTIONS
+from lakemart.session import stored
 
 STORED = "dw_metadata_dw_stored_at"
 
@@ -135,6 +136,9 @@ def question_answers(
             "question": F.when(~is_general, text.find("key", BEFORE_TARGET_ID)),
         }
     )
+    if keep_unmatched:
+        # read for the matched answers and for the rest: parsing the documents is the work here
+        rows = stored(rows, "answers")
     choices = rows.withColumn("hakukohde_oid", F.explode(F.array_distinct(jsonx.elements("hakukohde"))))
     targets = form_targets.filter(F.col("kysymys_id").isin(*questions) & F.col("hakukohde_oid").isNotNull())
     matched = choices.join(targets, ["lomake_id", "hakukohde_oid"]).filter(
@@ -143,6 +147,7 @@ def question_answers(
     shown = ["hakemus_oid", "hakukohde_oid", F.coalesce("question", "subject").alias("kysymys_id"), "arvo", STORED]
     if not keep_unmatched:
         return matched.select(*shown)
+    matched = stored(matched.drop("hakukohde"), "matched-answers")
     rest = rows.join(matched.select("hakemus_oid", "key"), ["hakemus_oid", "key"], "left_anti")
     return matched.select(*shown).unionByName(rest.withColumn("hakukohde_oid", F.col("subject")).select(*shown))
 
