@@ -71,18 +71,20 @@ def int_ataru_soratietoja(int_ataru_hakemus: DataFrame) -> DataFrame:
     Choices and answers are in the same document, so they are matched within
     the row; nothing is joined or shuffled.
     """
+    def named(entry: Column, question: tuple[str, str]) -> Column:
+        long, short = question
+        return entry["key"].like(f"{long}_%") | entry["key"].startswith(short)
+
     asked = int_ataru_hakemus.filter(jsonx.has_any_key("tiedot", [*HEALTH, *EARLIER]))
-    rows = asked.select(
-        "hakemus_oid", F.explode(jsonx.elements("hakukohde")).alias("hakukohde_oid"),
-        F.map_entries(jsonx.entries("tiedot")).alias("answers"), STORED,
+    # parsed once for an application, not once for each of its choices
+    answered = F.filter(F.map_entries(jsonx.entries("tiedot")), lambda e: named(e, HEALTH) | named(e, EARLIER))
+    rows = asked.select("hakemus_oid", "hakukohde", answered.alias("answers"), STORED).select(
+        "hakemus_oid", F.explode(jsonx.elements("hakukohde")).alias("hakukohde_oid"), "answers", STORED
     )
 
     def answers(question: tuple[str, str]) -> Column:
-        long, short = question
-
         def fits(entry: Column) -> Column:
-            named = entry["key"].like(f"{long}_%") | entry["key"].startswith(short)
-            return named & (F.split_part(entry["key"], F.lit("_"), F.lit(2)) == F.col("hakukohde_oid"))
+            return named(entry, question) & (F.split_part(entry["key"], F.lit("_"), F.lit(2)) == F.col("hakukohde_oid"))
 
         return F.transform(F.filter("answers", fits), lambda e: F.coalesce(e["value"] == "1", F.lit(False)))
 
