@@ -81,3 +81,29 @@ def test_wide_choices_are_stored_for_several_readers_only(spark):
     finally:
         admissions.forget()
         admissions.STORED.update(kept)
+
+
+def test_applications_are_stored_for_several_readings_only(spark):
+    """A mart that reads them once takes its columns without writing whole documents; choices of
+    which two readings lead to them have them stored."""
+    stored = lambda: set().union(*admissions.STORED.values())
+    kept = dict(admissions.STORED)
+    admissions.forget()
+    try:
+        for model in ("pub_fct_hakemus", "pub_dim_henkilo", "int_ataru_hakutoive", "int_maksuvelvollisuus", "int_sijoitteluajo"):
+            (found,) = admissions.marts(Source(spark, FOLDER), model)
+            assert not stored() & {"int_ataru_hakemus", "stg_valintarekisteri_jonosija"}, model
+            assert found.count() > 0
+        admissions.marts(Source(spark, FOLDER), "pub_fct_hakemus", "int_maksuvelvollisuus")
+        assert "int_ataru_hakemus" in stored()
+        admissions.marts(Source(spark, FOLDER), "dw_valintarekisteri_jonosija")
+        assert "stg_valintarekisteri_jonosija" in stored()
+    finally:
+        admissions.STORED.clear()
+        admissions.STORED.update(kept)
+
+
+def test_planted_rows_come_out_of_one_reading(spark):
+    admissions.forget()
+    plan = QUERIES["mart_checks"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_orderstatus") and plan.count("collect_set") == 1
