@@ -1,52 +1,60 @@
 """Which hashes a history may hold already, without reading the history.
 
 Beside every write stands a Bloom filter of the hashes that it added, as rows of
-64-bit words.  A hash one of whose bits is missing in every filter is new; only the
-others are looked up in the history itself.
+four 64-bit words.  All bits of a hash are in one row, so a hash asks one row of a
+filter.  A hash one of whose bits is missing in every filter is new; only the others
+are looked up in the history itself.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.session import stored
 from lakemart.sinks.versions import Tables
 
-#: Bits for each hash, and bits that a hash sets: about 1 in 400 is taken for known.
-BITS, SET = 16, 5
+#: Bits for each hash, and words of a row; a hash sets two bits in each word, so about 1 in 400 is taken for known.
+BITS, WORDS = 16, 4
+
+
+def _row(value: Column, size: int) -> Column:
+    """The row of a filter of so many bits in which all bits of a hash are."""
+    return F.pmod(F.xxhash64(value, F.lit(0)), F.lit(size // (64 * WORDS)).cast("long"))
 
 
-def _places(value: Column, size: Column) -> Column:
-    """Distinct bits of a hash in a filter of so many bits."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(SET - 1)), lambda i: F.pmod(F.xxhash64(value, i), size)))
+def _bits(value: Column, word: int) -> Column:
+    """The bits of a hash in one word of its row."""
+    places = F.xxhash64(value, F.lit(1))
+    first, second = (F.shiftright(places, 12 * word + n).bitwiseAND(F.lit(63)).cast("int") for n in (0, 6))
+    one = F.lit(1).cast("long")
+    return F.call_function("shiftleft", one, first).bitwiseOR(F.call_function("shiftleft", one, second))
 
 
 def filter_of(hashes: DataFrame, column: str) -> DataFrame:
-    """(size, word, bits) of the filter of a column; equal hashes count once."""
+    """(size, word, bits0, bits1, ...) of the filter of a column; equal hashes count once."""
     n = hashes.count()
-    size = 64
+    size = 64 * WORDS
     while size < BITS * n:
         size *= 2
-    bit = hashes.select(F.explode(_places(F.col(column), F.lit(size).cast("long"))).alias("bit"))
-    word = F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(bit % 64 AS INT))")).alias("bits")
-    return bit.groupBy(F.expr("bit div 64").alias("word")).agg(word).select(F.lit(size).cast("long").alias("size"), "word", "bits")
+    held = hashes.select(_row(F.col(column), size).alias("word"), *[_bits(F.col(column), w).alias(f"bits{w}") for w in range(WORDS)])
+    words = held.groupBy("word").agg(*[F.bit_or(f"bits{w}").alias(f"bits{w}") for w in range(WORDS)])
+    return words.select(F.lit(size).cast("long").alias("size"), "*")
 
 
 def maybe_known(hashes: DataFrame, column: str, filters: DataFrame) -> DataFrame:
-    """The hashes that some filter (write, size, word, bits) has all bits of."""
+    """The hashes that some filter (write, size, word, bits0, ...) has all bits of."""
     sizes = [r[0] for r in filters.select("size").distinct().collect()]  # powers of two, so a few dozen at most
-    asked = None
-    for size in sizes:
-        places = hashes.select(column, F.lit(size).alias("size"), _places(F.col(column), F.lit(size).cast("long")).alias("p"))
-        one = places.select(column, "size", F.size("p").alias("asked"), F.explode("p").alias("bit"))
-        asked = one if asked is None else asked.unionByName(one)
-    if asked is None:
+    asked = [hashes.select(column, F.lit(size).cast("long").alias("size"), _row(F.col(column), size).alias("word")) for size in sizes]
+    if not asked:
         return hashes.limit(0).select(column)
-    asked = asked.withColumn("word", F.expr("bit div 64"))
-    hit = filters.join(asked, ["size", "word"]).filter(F.expr("(shiftright(bits, CAST(bit % 64 AS INT)) & 1) = 1"))
-    found = hit.groupBy("write", column, "asked").agg(F.count(F.lit(1)).alias("n")).filter("n = asked")
-    return found.select(column).distinct()
+    hit = filters.join(reduce(DataFrame.unionByName, asked), ["size", "word"])
+    for w in range(WORDS):
+        wanted = _bits(F.col(column), w)
+        hit = hit.filter(F.col(f"bits{w}").bitwiseAND(wanted) == wanted)
+    return hit.select(column).distinct()
 
 
 class Known:

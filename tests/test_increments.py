@@ -94,6 +94,16 @@ def test_filters_know_all_that_is_known_and_little_else(spark):
     assert maybe_known(held, "h", filters.limit(0)).count() == 0
 
 
+def test_a_hash_asks_one_row_of_a_filter(spark):
+    """Rows go through the shuffles once for each hash and size of filter, not once for each bit."""
+    held = spark.range(3_000).selectExpr("md5(CAST(id AS STRING)) AS h")
+    filters = filter_of(held, "h").withColumn("write", F.lit(1)).unionByName(filter_of(held.limit(100), "h").withColumn("write", F.lit(2)))
+    found = maybe_known(held, "h", filters)
+    assert sorted(r.h for r in found.collect()) == sorted(r.h for r in held.collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Aggregate [h") == 1
+
+
 def test_a_load_of_new_rows_reads_filters_only(spark, tmp_path):
     known = Known(Tables(spark, str(tmp_path)), "t", "h")
     load = lambda a, b: spark.range(a, b).selectExpr("id", "md5(CAST(id AS STRING)) AS h")
