@@ -341,7 +341,7 @@ def bootstrap_sources(t: Source) -> DataFrame:
     """A first run where only one source has files: the others are empty tables."""
     tables = Tables(t.spark, work_path(t.spark, "bootstrap"))
     names = ["stg_ataru_hakemus", "int_ataru_hakemus", "stg_ataru_lomake", "int_sijoitteluajo"]
-    given = {"ataru_hakemus": stored(admission_documents.applications(t), "applications")}
+    given = {"ataru_hakemus": admission_documents.applications(t)}  # read once, by the stage table
     run(tables, sources_from(t.spark, given, raw_defaults), datetime(2024, 1, 2, 12), names)
     counts = [tables.read(n).agg(F.lit(n).alias("model"), F.count(F.lit(1)).alias("rows")) for n in names]
     return reduce(DataFrame.unionByName, counts)
