@@ -219,6 +219,17 @@ class Tables:
         self._put(name, now)
         return self._frame(name, now, held)
 
+    def keep_changes(self, name: str, rows: DataFrame) -> tuple[str, DataFrame]:
+        """Write rows that appeared or vanished before the write they belong to, which is
+        then given their place; they are read from there meanwhile."""
+        path = self._at(self._next(name), CHANGED)
+        rows.write.mode("errorifexists").parquet(f"{self.folder(name)}/{path}")
+        return path, self.spark.read.schema(rows.schema).parquet(f"{self.folder(name)}/{path}")
+
+    def drop_changes(self, name: str, path: str) -> None:
+        """Remove changes that belong to no write."""
+        _delete(self.spark, f"{self.folder(name)}/{path}")
+
     def _put(self, name: str, live: Live) -> None:
         put_text(self.spark, f"{self.folder(name)}/{self._at(live.number, LIVE)}.{live.content:09d}", live.to_json())
 
@@ -280,14 +291,30 @@ class Tables:
         number, held = self._write(name, df, ADDED)
         return self._commit(name, live, number, schema, [*(live.held if live else ()), held], notes, held.path)
 
+    def add_any(self, name: str, df: DataFrame) -> bool:
+        """Add the rows of a frame, which is read once; without any the table stays as it is."""
+        live = self._known(name)
+        schema = widened(live.schema, df.schema)
+        number, held = self._write(name, df, ADDED)
+        if self._frame(name, replace(live, schema=schema), [held]).isEmpty():
+            _delete(self.spark, f"{self.folder(name)}/{held.path}")
+            return False
+        self._commit(name, live, number, schema, [*live.held, held], None, held.path)
+        return True
+
     def parts(self, name: str) -> list[str]:
         """Values of the partitions that the table has rows of."""
         live = self.live(name)
         return sorted(h.part for h in live.held if h.part is not None) if live else []
 
-    def _write_parts(self, name: str, df: DataFrame, part: Column, write: int, number: int, order: tuple[str, ...] = ()) -> list[Held]:
-        # rebalancing gathers the rows of a partition but splits a large one over tasks
-        gathered = df.withColumn(PART, part).hint("rebalance", F.col(PART))
+    def _write_parts(
+        self, name: str, df: DataFrame, part: Column, write: int, number: int, order: tuple[str, ...] = (),
+        gather: bool = True, made: dict[str, Column] | None = None,
+    ) -> list[Held]:
+        gathered = df.withColumn(PART, part)
+        if gather:
+            # rebalancing gathers the rows of a partition but splits a large one over tasks
+            gathered = gathered.drop(*(made or {})).hint("rebalance", F.col(PART)).withColumns(made or {}).select(*df.columns, PART)
         if order:
             gathered = gathered.sortWithinPartitions(PART, *order)
         directory = self._at(number, REPLACED)
@@ -306,15 +333,16 @@ class Tables:
 
     def replace_parts(
         self, name: str, df: DataFrame, part: Column, touched: list[str] | None = None, fresh: bool = False,
-        notes: dict | None = None, changes: DataFrame | None = None,
+        notes: dict | None = None, changes: DataFrame | None = None, made: dict[str, Column] | None = None,
     ) -> DataFrame:
         """Write whole partitions; the others stay where they are.  A partition
         that is named in `touched` and has no rows left becomes empty.  With `fresh`
-        the frame is the whole table."""
+        the frame is the whole table.  Columns in `made` are not shuffled but made
+        out of the others."""
         live = self._base(name, fresh)
         schema = widened(live.schema, df.schema) if live else df.schema
         number = self._next(name)
-        new = self._write_parts(name, df, part, number, number)
+        new = self._write_parts(name, df, part, number, number, made=made)
         gone = {h.part for h in new} | set(touched or ())
         kept = [h for h in (live.held if live else ()) if h.part not in gone]
         return self._commit(name, self.live(name), number, schema, [*kept, *new], notes, changes)
@@ -325,7 +353,8 @@ class Tables:
 
     def replace_buckets(
         self, name: str, df: DataFrame, columns: tuple[str, ...], touched: list[str] | None = None, fresh: bool = False,
-        notes: dict | None = None, changes: DataFrame | None = None, order: tuple[str, ...] = (),
+        notes: dict | None = None, changes: DataFrame | str | None = None, order: tuple[str, ...] = (),
+        made: dict[str, Column] | None = None,
     ) -> DataFrame:
         """Write whole buckets of a table that is dealt by the hash of a key.
 
@@ -338,7 +367,9 @@ class Tables:
         schema = widened(live.schema, df.schema) if live else df.schema
         known = buckets.directory(kept)
         write = number = self._next(name)
-        new = {h.part: h for h in self._write_parts(name, df, buckets.bucket_of(columns, known), write, write, order)}
+        # one bucket for all rows: nothing has to be brought together
+        rows = self._write_parts(name, df, buckets.bucket_of(columns, known), write, write, order, known != [buckets.ROOT], made)
+        new = {h.part: h for h in rows}
         kept = {p: h for p, h in kept.items() if p not in new and p not in (touched or ())}
         deeper = {p: buckets.steps(h.size, self.bucket_bytes, p) for p, h in new.items()}
         deeper = {p: by for p, by in deeper.items() if by > 0}
@@ -351,7 +382,7 @@ class Tables:
             children = [child for p, by in deeper.items() for child in buckets.split(p, by)]
             # the rest of the directory only completes the bits; no row goes there
             finer = buckets.bucket_of(columns, buckets.directory(children))
-            new |= {h.part: h for h in self._write_parts(name, crowded, finer, write, number, order)}
+            new |= {h.part: h for h in self._write_parts(name, crowded, finer, write, number, order, made=made)}
         return self._commit(name, self.live(name), number, schema, [*kept.values(), *new.values()], notes, changes)
 
     def _divisible(self, name: str, live: Live, columns: tuple[str, ...], deeper: dict[str, int]) -> dict[str, int]:
