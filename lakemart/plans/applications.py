@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import jsonx, seasons, text
-from lakemart.functions.keys import key_text, surrogate_key
+from lakemart.functions.keys import surrogate_key
 from lakemart.operators import aggregates, joins, latest
 from lakemart.plans.dw import current
-from lakemart.plans.int1 import HIGHER_BASE_EDUCATION, choice_key
+from lakemart.plans.int1 import HIGHER_BASE_EDUCATION, choice_key, target_person_key
 from lakemart.plans.model import Since, model
-from lakemart.plans.shapes import SPECIAL_QUESTIONS
+from lakemart.plans.shapes import SHAPES, SPECIAL_QUESTIONS
 from lakemart.session import stored
 
 STORED = "dw_metadata_dw_stored_at"
@@ -495,9 +495,11 @@ def int_hakutoive_valintatapajono(
     placed = {p: f"_place_{p}" for p in parts}
     places = int_valintarekisteri_jonosija.drop(*digests, "jonosija_id", "sijoitteluajo_id").withColumnsRenamed(placed | {"prioriteetti": "_place_priority"})
     queues = int_valintarekisteri_valintatapajono.select("valintatapajono_oid", "valintatapajono_nimi", "prioriteetti")
-    rows = int_valintarekisteri_valinnantulos.drop(*digests).join(
-        places, surrogate_key(*parts) == surrogate_key(*placed.values()), "left"
-    ).join(queues, ["valintatapajono_oid"], "left")
+    # in the order of their own digest, by which the results are shuffled already
+    _, parts = SHAPES["valintarekisteri_valinnantulos"].key
+    rows = int_valintarekisteri_valinnantulos.drop(*digests, "valinnantulos_id").join(
+        places, surrogate_key(*parts) == surrogate_key(*[placed[p] for p in parts]), "left"
+    ).drop(*placed.values()).join(queues, ["valintatapajono_oid"], "left")
     accepted = F.col("valinnan_tila").isin(*ACCEPTED_IN_QUEUE)
     state = F.when(accepted & F.col("hyvaksytty_harkinnanvaraisesti"), BY_DISCRETION).otherwise(F.col("valinnan_tila"))
     result = F.struct(
@@ -517,11 +519,11 @@ def int_hakutoive_valintatapajono(
     day = F.col("valintatiedon_pvm").cast("date")
     best = F.min(F.when(rank > 0, F.struct(rank.alias("rank"), day.isNull().alias("undated"), day.alias("day"), state.alias("state"))))
     flag = F.max(F.coalesce(accepted & F.col("ehdollisesti_hyvaksyttavissa"), F.lit(False)))
-    grouped = rows.groupBy(key_text("hakemus_oid", "hakukohde_oid").alias("_choice")).agg(
+    grouped = rows.repartition(surrogate_key("hakemus_oid", "hakukohde_oid")).groupBy(choice_key()).agg(
         jsonx.to_array(F.array_sort(F.collect_list(result))).alias("valintatapajonot"), best.alias("best"), flag.alias("ehdollisesti_hyvaksytty")
     )
     return grouped.select(
-        F.md5("_choice").alias("hakutoive_id"), "valintatapajonot", F.col("best.state").alias("valintatieto"), F.col("best.day").alias("valintatiedon_pvm"),
+        "hakutoive_id", "valintatapajonot", F.col("best.state").alias("valintatieto"), F.col("best.day").alias("valintatiedon_pvm"),
         "ehdollisesti_hyvaksytty",
     )
 
@@ -559,37 +561,42 @@ def int_hakutoive(
     int_valintarekisteri_hyvaksyttyjulkaistuhakutoive: DataFrame, int_vastaanotto: DataFrame, int_valinta: DataFrame,
     int_harkinnanvaraisuus: DataFrame, int_valintarekisteri_ilmoittautuminen: DataFrame, int_ensikertalainen: DataFrame,
 ) -> DataFrame:
-    """Valid choices with everything known about them."""
-    applications = int_ataru_hakemus.select("hakemus_oid", "haku_oid", F.col("henkilo_oid").alias("_applicant"))
+    """Valid choices with everything known about them.
+
+    What an application's search and person say is joined to the application, before
+    its choices.  Digests do not compress, so the shuffles of the choices carry the
+    columns that they are made of.
+    """
     searches = int_haku.select(
         "haku_oid", "jarjestetyt_hakutoiveet", "vastaanotto_paattyy", "hakijakohtainen_paikan_vastaanottoaika"
     )
-    published = int_valintarekisteri_hyvaksyttyjulkaistuhakutoive.select("hakukohde_henkilo_id", "hyvaksyttyjajulkaistu")
-    accepted = int_vastaanotto.select("hakukohde_henkilo_id", "vastaanottotieto")
-    enrolled = int_valintarekisteri_ilmoittautuminen.select(
-        "hakukohde_henkilo_id", F.col("tila").alias("ilmoittautumisen_tila")
-    )
-    discretion = int_harkinnanvaraisuus.select("hakutoive_id", "harkinnanvaraisuuden_syy")
     first_timers = int_ensikertalainen.select(
         "haku_oid", F.col("henkilo_oid").alias("_applicant"), F.col("isensikertalainen").alias("ensikertalainen")
     )
-    rows = (
-        int_ataru_hakutoive.filter("NOT poistettu")
-        .join(applications, ["hakemus_oid"], "left")
+    applications = (
+        int_ataru_hakemus.select("hakemus_oid", "haku_oid", F.col("henkilo_oid").alias("_applicant"))
         .join(searches, ["haku_oid"], "left")
         .join(first_timers, ["haku_oid", "_applicant"], "left")
-        .join(published, ["hakukohde_henkilo_id"], "left")
-        .join(accepted, ["hakukohde_henkilo_id"], "left")
-        .join(enrolled, ["hakukohde_henkilo_id"], "left")
-        .join(int_valinta, ["hakutoive_id"], "left")
-        .join(discretion, ["hakutoive_id"], "left")
+        .drop("_applicant")
     )
+    register = "_register"
+    published = int_valintarekisteri_hyvaksyttyjulkaistuhakutoive.select(F.col("hakukohde_henkilo_id").alias(register), "hyvaksyttyjajulkaistu")
+    accepted = int_vastaanotto.select(F.col("hakukohde_henkilo_id").alias(register), "vastaanottotieto")
+    enrolled = int_valintarekisteri_ilmoittautuminen.select(
+        F.col("hakukohde_henkilo_id").alias(register), F.col("tila").alias("ilmoittautumisen_tila")
+    )
+    discretion = int_harkinnanvaraisuus.select(F.col("hakutoive_id").alias("_choice"), "harkinnanvaraisuuden_syy")
+    rows = int_ataru_hakutoive.filter("NOT poistettu").drop("hakutoive_id", "hakukohde_henkilo_id").join(applications, ["hakemus_oid"], "left")
+    for facts in (published, accepted, enrolled):
+        rows = rows.join(facts, surrogate_key("hakukohde_oid", "henkilo_oid") == F.col(register), "left").drop(register)
+    for facts in (int_valinta.withColumnRenamed("hakutoive_id", "_choice"), discretion):
+        rows = rows.join(facts, surrogate_key("hakemus_oid", "hakukohde_oid") == F.col("_choice"), "left").drop("_choice")
     ordered = F.coalesce("jarjestetyt_hakutoiveet", F.lit(True))
     deadline = seasons.acceptance_deadline(
         F.col("hyvaksyttyjajulkaistu"), F.col("hakijakohtainen_paikan_vastaanottoaika"), F.col("vastaanotto_paattyy")
     )
     return rows.select(
-        "hakutoive_id", "hakukohde_henkilo_id", surrogate_key("henkilo_oid", "hakemus_oid").alias("henkilo_hakemus_id"),
+        choice_key(), target_person_key(), surrogate_key("henkilo_oid", "hakemus_oid").alias("henkilo_hakemus_id"),
         "hakemus_oid", "haku_oid", "henkilo_oid", "hakukohde_oid",
         F.when(ordered, F.col("hakutoivenumero")).otherwise(F.lit(-1)).alias("hakutoivenumero"),
         deadline.alias("viimeinen_vastaanottopaiva"), "vastaanottotieto", "ilmoittautumisen_tila", "valintatapajonot",
@@ -608,10 +615,10 @@ def int_hakutoive_kk(int_ataru_hakemus: DataFrame, int_hakutoive: DataFrame, int
         jsonx.at("tiedot", HIGHER_BASE_EDUCATION).alias("base"), jsonx.has_key("tiedot", HIGHER_BASE_EDUCATION).alias("answered"),
         STORED,
     ).filter((F.size("reviews") > 0) & F.col("answered"))
-    choices = int_hakutoive.select("hakutoive_id", "hakemus_oid", "hakukohde_oid")
+    choices = int_hakutoive.select("hakemus_oid", "hakukohde_oid")
     own = F.get(F.filter("reviews", lambda r: r["hakukohde"] == F.col("hakukohde_oid")), F.lit(0))
     return choices.join(reviewed, ["hakemus_oid"]).select(
-        "hakutoive_id", "hakemus_oid", "hakukohde_oid", own["state"].alias("hakukelpoisuus"),
+        choice_key(), "hakemus_oid", "hakukohde_oid", own["state"].alias("hakukelpoisuus"),
         F.replace("base", F.lit("pohjakoulutus_"), F.lit("")).alias("pohjakoulutus"), STORED,
     )
 
