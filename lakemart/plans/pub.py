@@ -361,11 +361,14 @@ def pub_fct_raportti_hakijat_kk(
     """Applicants to higher education.  The obligation to pay shows only for
     choices whose eligibility has been reviewed."""
     higher = int_kouta_haku.filter(F.col("haun_tyyppi") == "korkeakoulu")
-    reviewed = int_hakutoive_kk.select("hakutoive_id", "hakukelpoisuus", "pohjakoulutus").join(
-        pub_dim_maksuvelvollisuus, ["hakutoive_id"], "left"
-    )
-    choices = joins.keep_matching(int_hakutoive, higher, ["haku_oid"]).select("hakutoive_id", "henkilo_oid")
-    return choices.join(reviewed, ["hakutoive_id"], "left")
+    # digests do not compress, so the shuffles carry the columns that they are made of
+    own = {"hakemus_oid": "_application", "hakukohde_oid": "_target"}
+    reviewed = int_hakutoive_kk.select(*own, "hakukelpoisuus", "pohjakoulutus").withColumnsRenamed(own)
+    obligations = pub_dim_maksuvelvollisuus.withColumnRenamed("hakutoive_id", "_choice")
+    reviewed = reviewed.join(obligations, surrogate_key(*own.values()) == F.col("_choice"), "left").drop("_choice")
+    choices = joins.keep_matching(int_hakutoive, higher, ["haku_oid"]).select(*own, "henkilo_oid")
+    rows = choices.join(reviewed, surrogate_key(*own) == surrogate_key(*own.values()), "left").drop(*own.values())
+    return rows.select(surrogate_key(*own).alias("hakutoive_id"), *[c for c in rows.columns if c not in own])
 
 
 @model()
@@ -444,6 +447,21 @@ def register(acceptances: DataFrame, enrolments: DataFrame) -> DataFrame:
     return joins.full_on(accepted_rows, enrolled_rows, ["hakukohde_henkilo_id"])
 
 
+# digests of a choice, and the columns that they are made of
+CHOICE, PERSON, REGISTER = ("hakemus_oid", "hakukohde_oid"), ("henkilo_oid", "hakemus_oid"), ("hakukohde_oid", "henkilo_oid")
+
+
+def bare(choices: DataFrame) -> DataFrame:
+    """Choices without their digests: these do not compress, so the shuffles carry the
+    columns that they are made of."""
+    return choices.drop("hakutoive_id", "henkilo_hakemus_id", "hakukohde_henkilo_id")
+
+
+def with_facts(choices: DataFrame, made_of: tuple[str, str], facts: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Bare choices with the rows of a table that has one of their digests as its key."""
+    return choices.join(facts.withColumnRenamed(key, "_key"), surrogate_key(*made_of) == F.col("_key"), how).drop("_key")
+
+
 def higher_rows(choices, targets, persons, registered, reviewed, obligations) -> DataFrame:
     """Choices in higher education with person, target, register and fee."""
     persons = pick(
@@ -451,13 +469,12 @@ def higher_rows(choices, targets, persons, registered, reviewed, obligations) ->
     )
     targets = targets.select("hakukohde_oid", "koulutuksen_alkamiskausi_koodiuri")
     registered = pick(registered, "hakukohde_henkilo_id vastaanottotieto=_acceptance ilmoittautumisen_tila=_enrolment")
-    return (
-        choices.join(persons, ["henkilo_hakemus_id"])
-        .join(targets, ["hakukohde_oid"])
-        .join(registered, ["hakukohde_henkilo_id"], "left")
-        .join(reviewed.select("hakutoive_id"), ["hakutoive_id"], "left")
-        .join(obligations, ["hakutoive_id"], "left")
-    )
+    # what adds least comes first; after the targets the rows are dealt by target, as the report counts them
+    rows = with_facts(bare(choices), CHOICE, reviewed.select("hakutoive_id"), "hakutoive_id")
+    rows = with_facts(rows, CHOICE, obligations, "hakutoive_id")
+    rows = with_facts(rows, REGISTER, registered, "hakukohde_henkilo_id")
+    rows = with_facts(rows, PERSON, persons, "henkilo_hakemus_id", "inner").join(targets, ["hakukohde_oid"])
+    return rows.withColumn("hakutoive_id", surrogate_key(*CHOICE))
 
 
 def person_class() -> list[Column]:
@@ -526,11 +543,10 @@ def secondary_rows(choices, targets, educations, persons, acceptances, enrolment
         """,
     )
     targets = targets.select("hakukohde_oid", "koulutus_oid", "koulutuksen_alkamiskausi_koodiuri").join(fields, ["koulutus_oid"])
-    return (
-        choices.join(targets, ["hakukohde_oid"])
-        .join(persons.select("henkilo_hakemus_id", "master_oid", "sukupuoli"), ["henkilo_hakemus_id"])
-        .join(register(acceptances, enrolments), ["hakukohde_henkilo_id"], "left")
-    )
+    persons = persons.select("henkilo_hakemus_id", "master_oid", "sukupuoli")
+    rows = with_facts(bare(choices), REGISTER, register(acceptances, enrolments), "hakukohde_henkilo_id")
+    rows = with_facts(rows, PERSON, persons, "henkilo_hakemus_id", "inner").join(targets, ["hakukohde_oid"])
+    return rows.withColumn("hakutoive_id", surrogate_key(*CHOICE))
 
 
 FIELD_KEYS = [
